@@ -3,6 +3,20 @@
 _WS = r"[\x20\x09-\x0D]"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP2 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, CAST(('0x' || sha1(payload)) AS VARCHAR) AS x, sha1(payload) AS hex FROM p),
+b AS (
+  SELECT page_id, payload_bytes, hex,
+    (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, g * 5 + 1, 5) AS INT) >> s) & 31 AS INT) + 1, 1), '' ORDER BY g, s DESC)
+     FROM unnest(range(0, 8)) AS t(g), unnest([0, 5, 10, 15]) AS u(s)) AS payload_digest
+  FROM h),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 OP5 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, {_WORDS} AS w FROM d),
@@ -57,4 +71,4 @@ FROM m GROUP BY doc_id
 #: op6 has no entry: the documents that make up a source's share follow from Spark's own hash of the ids.
 #: Its tests hold sizes and targets against OP6_TARGETS.
 OP6_TARGETS = OP6
-SQL = {"op5_quality_rules": OP5, "op9_line_dedup": OP9}
+SQL = {"op2_warc": OP2, "op5_quality_rules": OP5, "op9_line_dedup": OP9}
