@@ -10,6 +10,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The de-leet substitutions.
 LEET_FROM, LEET_TO = "0134578@$!", "oieastbasi"
@@ -115,7 +116,7 @@ def text_entropy(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", 0.0).otherwise(let(F.split(c, ""), of))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def kolmogorov(c: pd.Series) -> pd.Series:
     """STR11: deflated bytes over characters, 0 for null and empty."""
     return c.map(lambda t: len(zlib.compress(t.encode("utf-8"))) / len(t) if t else 0.0)
@@ -139,7 +140,7 @@ def _fuzzy(name: str, user: str, threshold: float) -> bool:
     return any(difflib.SequenceMatcher(None, name, w).ratio() >= threshold for w in windows)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def fuzzy_match(name: pd.Series, user: pd.Series) -> pd.Series:
     """STR14: whether a window of the username is at least 0.8 like the name (Ratcliff-Obershelp)."""
     return pd.Series([_fuzzy(n or "", u or "", 0.8) for n, u in zip(name, user, strict=True)])

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import text
 
@@ -184,7 +185,7 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(_indel(*p) for p in pairs)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _combined(u: pd.Series, v: pd.Series, su: pd.Series, sv: pd.Series, du: pd.Series, dv: pd.Series, lu: pd.Series, lv: pd.Series, tu: pd.Series, tv: pd.Series) -> pd.Series:
     def one(a: str, b: str, sa: str, sb: str, da: str, db: str, la: str, lb: str, ta: str, tb: str) -> float:
         best = max(damerau_similarity(a, b), damerau_similarity(sa, sb), damerau_similarity(da, db), jaro_winkler(a, b), token_set_ratio(ta, tb))
@@ -338,7 +339,7 @@ def similarity_model(users: DataFrame, **settings) -> Similarity:
     return username_similarity(users.toDF("email_username"), **settings)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _damerau(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([damerau_similarity(x, y) for x, y in zip(a, b, strict=True)])
 

@@ -1,13 +1,502 @@
-"""Registered queries of the risk engine and their DuckDB SQL."""
+"""Registered queries of the risk engine, each with DuckDB SQL where SQL can express it."""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def queries():
-    return {}
+from riskloom.functions import numeric, text
+from riskloom.operators import clustering, features, prepare, pruning, scoring, similarity
+from riskloom.sources import applications as app
+from riskloom.sources import tables
 
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+APPS = f"WITH apps AS ({app.duckdb_sql()}) "
+#: What DuckDB needs for the e-mail parts of the adapter's addresses.
+MAIL = f"""WITH apps AS ({app.duckdb_sql()}), mail AS (
+  SELECT *, split_part(email, '@', 1) AS u, substr(email, strpos(email, '@') + 1) AS d, list_last(string_split(email, '.')) AS t FROM apps) """
 
-def oracle_sql():
-    return {}
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return tables.load_table(spark, f"{sf_dir}/{name}.parquet")
+
+
+def _apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return app.applications(spark, sf_dir)
+
+
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _apps(spark, sf_dir).select("app_id", text.email_parts(F.col("email"))["user"].alias("email_username"))
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def src1_full_scan(s, d):
+    return _table(s, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("SELECT CAST(least(1000, count(*)) AS BIGINT) AS n_rows, CAST(least(1000, count(DISTINCT o_orderkey)) AS BIGINT) AS n_keys FROM orders")
+def src2_row_sample(s, d):
+    return tables.load_table(s, f"{d}/orders.parquet", 1000).agg(F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"))
+
+
+@query("SELECT r_name, count(*) AS n FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+def src3_sql_text(s, d):
+    return s.sql("SELECT r_name, count(*) AS n FROM {region} JOIN {nation} ON n_regionkey = r_regionkey GROUP BY r_name", region=_table(s, d, "region"), nation=_table(s, d, "nation"))
+
+
+@query("SELECT n_name AS country, 'Europe/Paris' AS local_timezone FROM nation")
+def src6_lookup_renames(s, d):
+    return tables.timezone_lookup(_table(s, d, "nation").select(F.col("n_name").alias("ISO2"), F.lit("Europe/Paris").alias("TIMEZONE")))
+
+
+@query("SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def snk2_null_markers(s, d):
+    marked = _table(s, d, "orders").withColumn("o_orderpriority", F.when(F.col("o_orderpriority") == "1-URGENT", "nan").otherwise(F.col("o_orderpriority")))
+    return tables.nullify_markers(marked).groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query("SELECT least(CAST(floor((o_totalprice - lo) / ((hi - lo) / 20)) AS INT), 19) AS bin, count(*) AS n FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders) GROUP BY 1")
+def snk6_score_histogram(s, d):
+    return tables.histogram(_table(s, d, "orders"), "o_totalprice", 20).select("bin", "n")
+
+
+@query("SELECT o_custkey, o_orderkey AS app_id FROM orders")
+def prj1_3_project_rename(s, d):
+    raw = _table(s, d, "orders").withColumnRenamed("o_orderkey", "Order Number ")
+    df = prepare.normalize_columns(raw.select(*[f"`{c}`" for c in raw.columns]))
+    return prepare.subset(prepare.rename(df, {"ORDER NUMBER": "app_id"}), ["o_custkey", "app_id", "absent"])
+
+
+@query("SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM orders) WHERE r = 1")
+def prj4_dedupe_first(s, d):
+    return prepare.drop_duplicates(_table(s, d, "orders"), ["o_custkey"], "first", "o_orderkey").select("o_custkey", "o_orderkey")
+
+
+@query("SELECT o_custkey, o_orderkey FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n = 1")
+def prj4_dedupe_none(s, d):
+    return prepare.drop_duplicates(_table(s, d, "orders"), ["o_custkey"], False, "o_orderkey").select("o_custkey", "o_orderkey")
+
+
+@query("SELECT event_id, CAST(coalesce(trunc(try_cast(event_type AS DOUBLE)), 7) AS BIGINT) AS as_int, coalesce(try_cast(CAST(value AS VARCHAR) AS DOUBLE), 0) AS as_float FROM events")
+def prj7_safe_casts(s, d):
+    e = _table(s, d, "events")
+    return e.select("event_id", numeric.safe_int(F.col("event_type"), 7).alias("as_int"), numeric.safe_float(F.col("value")).alias("as_float"))
+
+
+@query(APPS + "SELECT app_id, CASE cleansed WHEN 'CLEANSED' THEN '1' ELSE '0' END AS cleansed, CASE WHEN lower(ueclf_24_app) = 'yes' THEN '1' ELSE '0' END AS ueclf_24_app, CASE WHEN lower(uelf_25_app) = 'yes' THEN '1' ELSE '0' END AS uelf_25_app, CASE WHEN browser IS NOT DISTINCT FROM '1-URGENT' THEN '1' ELSE '0' END AS urgent FROM apps")
+def val1_3_value_maps(s, d):
+    return _apps(s, d).select("app_id", prepare.mapped("cleansed", prepare.VALUE_MAPS["cleansed"]).alias("cleansed"), prepare.yes_flag("ueclf_24_app").alias("ueclf_24_app"), prepare.yes_flag("uelf_25_app").alias("uelf_25_app"), prepare.exact_flag("browser", "1-URGENT").alias("urgent"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN epoch(date_trunc('second', o_orderdate))::BIGINT ELSE 0 END AS seconds FROM orders")
+def val4_impute_dates(s, d):
+    o = _table(s, d, "orders").withColumn("app_date", F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise("0"))
+    return prepare.impute_dates(o).select("o_orderkey", numeric.epoch_seconds(F.col("app_date")).alias("seconds"))
+
+
+@query(APPS + ", z AS (SELECT n_name, CASE WHEN n_nationkey % 2 = 0 THEN 'Europe/Paris' END AS zone FROM nation WHERE n_nationkey < 20) SELECT app_id, zone, z.n_name AS country_name, CASE WHEN z.n_name IS NOT NULL THEN substr(z.n_name, 1, 2) END AS isocode FROM apps LEFT JOIN z ON z.n_name = apps.country")
+def jn1_3_enrich_lookups(s, d):
+    n = _table(s, d, "nation").where("n_nationkey < 20")
+    zones = n.select(F.col("n_name").alias("country"), F.when(F.col("n_nationkey") % 2 == 0, "Europe/Paris").alias("zone"))
+    countries = n.select(F.col("n_name").alias("country_name"), F.substring("n_name", 1, 2).alias("isocode"))
+    return prepare.enrich(_apps(s, d), zones, None, countries).select("app_id", "zone", "country_name", "isocode")
+
+
+@query(APPS + "SELECT app_id, lower(regexp_replace(first_name, '[^a-zA-Z\\s]', '', 'g')) AS first_name, lower(regexp_replace(full_name, '[^a-zA-Z\\s]', '', 'g')) AS full_name FROM apps")
+def str1_clean_names(s, d):
+    return _apps(s, d).select("app_id", text.clean_names(F.col("first_name")).alias("first_name"), text.clean_names(F.col("full_name")).alias("full_name"))
+
+
+@query(APPS + "SELECT app_id, regexp_replace(regexp_replace(trim(lower(city)), '[^a-z\\s]', '', 'g'), '\\s+', ' ', 'g') AS city FROM apps")
+def str2_clean_city(s, d):
+    return _apps(s, d).select("app_id", text.clean_city(F.col("city")).alias("city"))
+
+
+@query(APPS + "SELECT app_id, CASE browser_language WHEN 'en-us,fr-fr' THEN 'en-US,fr-FR' WHEN 'DE-de, en-gb' THEN 'de-DE,en-GB' ELSE 'unknown' END AS browser_language FROM apps")
+def str3_clean_language(s, d):
+    return _apps(s, d).select("app_id", text.clean_browser_language(F.col("browser_language")).alias("browser_language"))
+
+
+@query(MAIL + "SELECT app_id, u AS email_username, d AS email_domain, t AS email_tld, count(*) OVER (PARTITION BY d) AS domain_freq, count(*) OVER (PARTITION BY t) AS tld_freq FROM mail")
+def str4_agg3_email_features(s, d):
+    return features.email_features(_apps(s, d)).select("app_id", "email_username", "email_domain", "email_tld", "domain_freq", "tld_freq")
+
+
+@query(MAIL + "SELECT app_id, regexp_extract(email, '([^@]+)@([^.]+)\\.(.+)', 2) AS domain, regexp_extract(email, '([^@]+)@([^.]+)\\.(.+)', 3) AS tld FROM mail")
+def str4b_email_first_label(s, d):
+    p = text.email_parts_first_label(F.col("email"))
+    return _apps(s, d).select("app_id", p["domain"].alias("domain"), p["tld"].alias("tld"))
+
+
+@query(MAIL + """SELECT app_id, length(u) AS username_length, len(regexp_extract_all(u, '[0-9]')) AS username_digit_count, len(regexp_extract_all(u, '[^a-zA-Z0-9]')) AS username_special_count,
+  len(list_distinct(string_split(u, ''))) AS username_unique_chars, round(len(regexp_extract_all(u, '[0-9]')) / length(u), 9) AS username_digit_ratio,
+  len(regexp_extract_all(regexp_replace(u, '[0-9]+$', ''), '[0-9]+')) + CASE WHEN regexp_matches(u, '^[0-9]') THEN 1 ELSE 0 END AS username_numeric_seq_count FROM mail""")
+def str5_12_username_chars(s, d):
+    f = features.username_features(_users(s, d))
+    return f.select("app_id", "username_length", "username_digit_count", "username_special_count", "username_unique_chars", F.round("username_digit_ratio", 9).alias("username_digit_ratio"), "username_numeric_seq_count")
+
+
+@query(MAIL + """, c AS (SELECT DISTINCT u FROM mail), x AS (SELECT u, ch, count(*) AS n FROM c, unnest(string_split(u, '')) AS t(ch) GROUP BY u, ch),
+  e AS (SELECT u, round(-sum(n / length(u) * ln(n / length(u))) / length(any_value(u)), 9) AS username_entropy FROM x GROUP BY u) SELECT app_id, username_entropy FROM mail JOIN e USING (u)""")
+def str10_entropy(s, d):
+    return _users(s, d).select("app_id", F.round(text.text_entropy(F.col("email_username")), 9).alias("username_entropy"))
+
+
+@query()
+def str11_kolmogorov(s, d):
+    return _users(s, d).select("email_username").distinct().select("email_username", text.kolmogorov(F.col("email_username")).alias("complexity"))
+
+
+@query(MAIL + """, k AS (SELECT *, regexp_replace(lower(first_name), '[^a-z]', '', 'g') AS f, regexp_replace(lower(last_name), '[^a-z]', '', 'g') AS l, regexp_replace(lower(u), '[^a-z]', '', 'g') AS n FROM mail),
+  g AS (SELECT *, list_transform(range(1, greatest(length(n) - 1, 1)), lambda i: substr(n, i, 3)) AS gn, list_transform(range(1, greatest(length(f) - 1, 1)), lambda i: substr(f, i, 3)) AS gf, list_transform(range(1, greatest(length(l) - 1, 1)), lambda i: substr(l, i, 3)) AS gl FROM k)
+  SELECT app_id, contains(lower(u), lower(first_name)) AS exact_first_match, list_has_any(gf, gn) AS ngram_first_match, contains(lower(u), lower(last_name)) AS exact_last_match, list_has_any(gl, gn) AS ngram_last_match FROM g""")
+def str13_15_name_matches(s, d):
+    a = _apps(s, d).withColumn("email_username", text.email_parts(F.col("email"))["user"])
+    return features.name_matches(a).select("app_id", "exact_first_match", "ngram_first_match", "exact_last_match", "ngram_last_match")
+
+
+@query()
+def str14_16_semantic_score(s, d):
+    a = _apps(s, d).withColumn("email_username", text.email_parts(F.col("email"))["user"])
+    return features.name_matches(a).select("app_id", "fuzzy_first_match", "fuzzy_last_match", "inv_semantic_score")
+
+
+@query(MAIL + """SELECT app_id, lower(u) AS norm, trim(regexp_replace(lower(u), '[^a-z0-9]+', '_', 'g'), '_') AS sep, translate(lower(u), '0134578@$!', 'oieastbasi') AS deleet,
+  regexp_replace(regexp_replace(regexp_replace(lower(u), '[a-z]+', 'a', 'g'), '[0-9]+', 'd', 'g'), '[^ad]+', 's', 'g') AS shape, regexp_replace(lower(u), '[^a-z]', '', 'g') AS letters,
+  trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g')) AS tokens, regexp_replace(trim(regexp_replace(lower(u), '[^a-z0-9]+', '_', 'g'), '_'), '[0-9]+', '0', 'g') AS label FROM mail""")
+def str17_23_views(s, d):
+    u = F.col("email_username")
+    return _users(s, d).select("app_id", text.norm(u).alias("norm"), text.sep_norm(u).alias("sep"), text.deleet_norm(u).alias("deleet"), text.shape(u).alias("shape"), text.letters_only(u).alias("letters"), text.tokens_for_ratio(u).alias("tokens"), text.canonical_label(u).alias("label"))
+
+
+@query(MAIL + """, x AS (SELECT DISTINCT u FROM mail) SELECT u AS email_username, len(list_distinct(flatten([list_transform(range(1, length(u) - n + 2), lambda i: substr(u, i, n)) FOR n IN [2, 3, 4]]))) AS n_shingles FROM x""".replace("[list_transform(range(1, length(u) - n + 2), lambda i: substr(u, i, n)) FOR n IN [2, 3, 4]]", "[" + ", ".join(f"list_transform(range(1, length(u) - {n} + 2), lambda i: substr(u, i, {n}))" for n in (2, 3, 4)) + "]"))
+def str24_shingles(s, d):
+    return _users(s, d).select("email_username").distinct().select("email_username", F.size(text.shingles(F.col("email_username"), (2, 3, 4))).alias("n_shingles"))
+
+
+@query(APPS + """, g AS (SELECT passport_id, count(*) AS passport_id_counts, count(DISTINCT email) AS unique_emails_per_passport, count(DISTINCT full_name) AS names FROM apps GROUP BY passport_id)
+  SELECT app_id, passport_id_counts, unique_emails_per_passport, CAST(names > 1 AS INT) AS name_variation_flag, count(*) OVER (PARTITION BY contact_number) AS phone_counts FROM apps JOIN g USING (passport_id)""")
+def agg1_2_identity(s, d):
+    return features.identity_features(_apps(s, d)).select("app_id", "passport_id_counts", "unique_emails_per_passport", "name_variation_flag", "phone_counts")
+
+
+@query(APPS + """SELECT app_id, CAST(coalesce(epoch(date_trunc('second', app_date)) - lag(epoch(date_trunc('second', app_date))) OVER (PARTITION BY passport_id ORDER BY app_id) < 3600, false) AS BIGINT) AS rapid_submission_flag,
+  count(*) OVER (PARTITION BY ip_short) AS app_count_per_ip FROM apps""")
+def win1_rapid_submission(s, d):
+    return features.behaviour_features(_apps(s, d)).select("app_id", "rapid_submission_flag", "app_count_per_ip")
+
+
+@query("SELECT event_id, CAST(coalesce(epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) < 3600, false) AS BIGINT) AS rapid_submission_flag FROM (SELECT event_id, user_id, date_trunc('second', ts) AS ts FROM events)")
+def win1_event_gaps(s, d):
+    e = _table(s, d, "events").withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp"))).withColumn("o", F.struct("ts", "event_id"))
+    return features.rapid_submission(e, "user_id", "ts", "o").select("event_id", "rapid_submission_flag")
+
+
+@query(APPS + "SELECT app_id, (CASE WHEN lower(ueclf_24_app) = 'yes' THEN 1 ELSE 0 END) + (CASE WHEN lower(uelf_25_app) = 'yes' THEN 1 ELSE 0 END) AS total_apps FROM apps")
+def agg7_total_apps(s, d):
+    return features.total_apps(prepare.clean_values(_apps(s, d))).select("app_id", "total_apps")
+
+
+@query(APPS + ", g AS (SELECT postcode, count(DISTINCT city) AS n FROM apps GROUP BY postcode) SELECT app_id, CAST(country IS DISTINCT FROM provider_country AS INT) AS country_mismatch, CAST(n > 1 AS INT) AS postcode_multiple_cities FROM apps JOIN g USING (postcode)")
+def geo_agg4_location(s, d):
+    return features.postcode_multiple_cities(features.country_mismatch(_apps(s, d))).select("app_id", "country_mismatch", "postcode_multiple_cities")
+
+
+@query(APPS + """, i AS (SELECT ip_short, count(DISTINCT passport_id) AS n FROM apps GROUP BY 1), b AS (SELECT browser, count(DISTINCT passport_id) AS n FROM apps GROUP BY 1)
+  SELECT app_id, CAST(i.n > 2 AS INT) AS ip_suspicious, CAST(b.n > 10 AS INT) AS browser_suspicious FROM apps JOIN i USING (ip_short) JOIN b USING (browser)""")
+def agg5_fingerprint(s, d):
+    return features.fingerprint_features(_apps(s, d)).select("app_id", "ip_suspicious", "browser_suspicious")
+
+
+@query(APPS + """, l AS (SELECT app_id, substr(country, 1, 2) AS c, substr(provider_country, 1, 2) AS p, list_distinct(list_transform(regexp_extract_all(coalesce(browser_language, ''), '-([A-Za-z]{2})', 1), lambda x: upper(x))) AS r FROM apps)
+  SELECT app_id, CAST(NOT (list_contains(r, p) OR list_contains(r, c)) AS INT) AS country_language_mismatch, CAST(NOT list_contains(r, p) AS INT) AS uncommon_browser_language FROM l""")
+def arr1_3_languages(s, d):
+    a = _apps(s, d).withColumns({"country": F.substring("country", 1, 2), "provider_country": F.substring("provider_country", 1, 2)})
+    return features.language_features(a).select("app_id", "country_language_mismatch", "uncommon_browser_language")
+
+
+@query(APPS + ", h AS (SELECT app_id, hour((app_date AT TIME ZONE 'UTC') AT TIME ZONE coalesce(local_timezone, 'UTC')) AS h, local_timezone AS z FROM apps) SELECT app_id, CASE WHEN z IS NOT NULL AND (h <= 5 OR h = 23) THEN 1 ELSE 0 END AS unusual_local_time FROM h")
+def dt3_unusual_local_time(s, d):
+    return features.unusual_local_time(_apps(s, d)).select("app_id", "unusual_local_time")
+
+
+@query(APPS + ", e AS (SELECT *, CASE WHEN app_id % 4 = 0 THEN country WHEN app_id % 4 = 1 THEN 'FRANCE' END AS x FROM apps) SELECT app_id, CAST(x IS NOT NULL AND x IS DISTINCT FROM country AND x IS DISTINCT FROM provider_country AS INT) AS city_country_mismatch FROM e")
+def geo2_city_country(s, d):
+    a = _apps(s, d).withColumn("expected_country_from_city", F.when(F.col("app_id") % 4 == 0, F.col("country")).when(F.col("app_id") % 4 == 1, "FRANCE"))
+    return features.city_country_mismatch(a).select("app_id", "city_country_mismatch")
+
+
+@query("SELECT c_custkey, (c_acctbal - lo) / (hi - lo) AS min_max, (c_acctbal - mu) / sd AS z FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mu, stddev_samp(c_acctbal) AS sd FROM customer)")
+def mth6_normalise(s, d):
+    c = _table(s, d, "customer").select("c_custkey", "c_acctbal", F.col("c_acctbal").alias("z"))
+    return numeric.normalise(numeric.normalise(c, "c_acctbal"), "z", "z-score").select("c_custkey", F.col("c_acctbal").alias("min_max"), "z")
+
+
+@query("SELECT p_partkey, ln(1 + p_retailprice) AS log, sqrt(p_retailprice) AS root, least(greatest((p_size - 10) / 30.0::DOUBLE, 0), 1) AS clipped, CASE WHEN sd = 0 THEN 0 ELSE (p_retailprice - mu) / sd END AS z FROM part, (SELECT avg(p_retailprice) AS mu, stddev_pop(p_retailprice) AS sd FROM part)")
+def mth1_4_math(s, d):
+    p = _table(s, d, "part")
+    stats = p.agg(F.avg("p_retailprice").alias("mu"), F.stddev_pop("p_retailprice").alias("sd"))
+    c = F.col("p_retailprice")
+    return p.join(stats).select("p_partkey", F.log1p(c).alias("log"), F.sqrt(c).alias("root"), numeric.clip01((F.col("p_size") - 10) / F.lit(30.0)).alias("clipped"), numeric.z_score(c, F.col("mu"), F.col("sd")).alias("z"))
+
+
+def _short_users(s, d):
+    return similarity.usernames(_users(s, d))
+
+
+_PAIRS = MAIL + """, x AS (SELECT DISTINCT lower(u) AS u FROM mail), sh AS (SELECT DISTINCT u, substr(u, i, k) AS s FROM x, unnest([2, 3, 4]) AS a(k), unnest(range(1, length(u) - k + 2)) AS b(i)),
+  n AS (SELECT u, count(*) AS n FROM sh GROUP BY u), p AS (SELECT a.u AS user_1, b.u AS user_2, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.u < b.u GROUP BY 1, 2),
+  j AS (SELECT user_1, user_2, c / (m.n + o.n - c) AS jaccard FROM p JOIN n m ON m.u = user_1 JOIN n o ON o.u = user_2 WHERE c / (m.n + o.n - c) >= 0.65) """
+
+
+@query()
+def sim1_4_lsh_candidates(s, d):
+    return similarity.candidates(_short_users(s, d), ("raw", "sep", "deleet"))[0]
+
+
+@query()
+def sim5_6_refined_pairs(s, d):
+    return similarity.refine(similarity.candidates(_short_users(s, d), ("raw", "sep", "deleet"))[0])
+
+
+def _stage(s, d):
+    users = _short_users(s, d)
+    pairs = similarity.refine(similarity.candidates(users, ("raw", "sep", "deleet"))[0])
+    clusters, summary = similarity.extract_clusters(pairs, users)
+    return similarity.annotate_pairs(pairs, clusters), clusters, summary
+
+
+@query()
+def sim7_8_cluster_summary(s, d):
+    return similarity.sorted_summary(_stage(s, d)[2])
+
+
+@query()
+def sim11_user_features(s, d):
+    return similarity.user_features(_stage(s, d)[0])
+
+
+@query()
+def sim10_cluster_links(s, d):
+    _, clusters, summary = _stage(s, d)
+    return similarity.cluster_links(clusters, summary)
+
+
+@query("""WITH RECURSIVE e AS (SELECT 'a' || CAST(c_custkey AS VARCHAR) AS a, 'a' || CAST(c_custkey + 7 AS VARCHAR) AS b FROM customer WHERE c_custkey % 5 <> 0),
+  n AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), r AS (SELECT x AS node, x AS root FROM n UNION SELECT r.node, n.y FROM r JOIN n ON n.x = r.root) SELECT node, min(root) AS root FROM r GROUP BY node""")
+def sim7_components(s, d):
+    c = F.col("c_custkey")
+    e = _table(s, d, "customer").where("c_custkey % 5 <> 0").select(F.concat(F.lit("a"), c.cast("string")).alias("a"), F.concat(F.lit("a"), (c + 7).cast("string")).alias("b"))
+    return similarity.components(e, "a", "b")
+
+
+@query("SELECT o_custkey AS user_1, o_orderkey AS user_2, o_totalprice AS similarity FROM orders ORDER BY o_totalprice DESC, o_custkey, o_orderkey LIMIT 20")
+def srt1_top_pairs(s, d):
+    o = _table(s, d, "orders").select(F.col("o_custkey").alias("user_1"), F.col("o_orderkey").alias("user_2"), F.col("o_totalprice").alias("similarity"))
+    return similarity.top_pairs(o)
+
+
+def _wide(s, d):
+    df = _table(s, d, "lineitem").withColumn("l_net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return df.select("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_net")
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, count(DISTINCT {c}) AS n FROM lineitem" for c in ("l_returnflag", "l_linestatus", "l_discount", "l_shipdate")) + ")")
+def agg17_distinct_profile(s, d):
+    found = pruning.distinct_counts(_table(s, d, "lineitem").select("l_returnflag", "l_linestatus", "l_discount", "l_shipdate"))
+    return s.createDataFrame(list(found.items()), "name string, n long")
+
+
+def _corr_sql() -> str:
+    cols = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_net")
+    parts = [f"SELECT '{a}' AS c1, '{b}' AS c2, round(corr({a}, {b}), 6) AS r FROM (SELECT *, l_extendedprice * (1 - l_discount) AS l_net FROM lineitem)" for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE abs(r) > 0.5"
+
+
+@query(_corr_sql())
+def fe2_correlated_pairs(s, d):
+    return s.createDataFrame(pruning.correlated(_wide(s, d), 0.5), "c1 string, c2 string, r double").withColumn("r", F.round("r", 6))
+
+
+@query("SELECT CASE WHEN var_samp(l_extendedprice) < var_samp(n) THEN 'l_extendedprice' ELSE 'l_net' END AS dropped FROM (SELECT *, l_extendedprice * (1 - l_discount) AS n FROM lineitem)")
+def fe3_dropped_columns(s, d):
+    df = _wide(s, d)
+    return s.createDataFrame([(c,) for c in pruning.least_informative(df, pruning.correlated(df, 0.5), ())], "dropped string")
+
+
+@query("SELECT 'flag' AS name WHERE (SELECT max(n) / sum(n) > 0.9 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey % 100 = 0))")
+def fe4_imbalanced(s, d):
+    df = _table(s, d, "lineitem").select((F.col("l_orderkey") % 100 == 0).alias("flag"), "l_returnflag")
+    return s.createDataFrame([(c,) for c in pruning.imbalanced(df)], "name string")
+
+
+@query("SELECT 'keep' AS name UNION ALL SELECT 'empty'")
+def fe1_drop_unique(s, d):
+    df = _table(s, d, "region").select(F.col("r_regionkey").alias("keep"), F.lit(1).alias("one"), F.lit(None).cast("string").alias("empty"))
+    return s.createDataFrame([(c,) for c in pruning.drop_unique(df).columns], "name string")
+
+
+_SKEW_SRC = "(SELECT o_orderkey AS k, o_totalprice * o_totalprice * o_totalprice * o_totalprice * o_totalprice * o_totalprice / 1e30 AS a, o_orderkey % 7 AS b FROM orders)"
+
+
+@query(f"SELECT k, CASE WHEN s > 0.8 THEN ln(1 + a) ELSE a END AS a, CAST(b AS DOUBLE) AS b FROM {_SKEW_SRC}, (SELECT abs((avg(a) - median(a)) / stddev_samp(a)) AS s FROM {_SKEW_SRC})")
+def fe6_reduce_skew(s, d):
+    p = F.col("o_totalprice")
+    df = _table(s, d, "orders").select(F.col("o_orderkey").alias("k"), (p * p * p * p * p * p / F.lit(1e30)).alias("a"), (F.col("o_orderkey") % 7).alias("b"))
+    return pruning.reduce_skew(df, exclude=("k", "b")).select("k", "a", F.col("b").cast("double").alias("b"))
+
+
+@query("SELECT c_custkey AS app_id, (c_acctbal - lo) / (hi - lo) AS c_acctbal_scaled, CAST(7 AS DOUBLE) AS seven_scaled FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer)")
+def fe7_min_max_scale(s, d):
+    c = _table(s, d, "customer").select(F.col("c_custkey").alias("app_id"), "c_acctbal", F.lit(7).alias("seven"))
+    return pruning.min_max_scale(c).select("app_id", "c_acctbal_scaled", "seven_scaled")
+
+
+@query("""WITH q AS (SELECT quantile_cont(c_acctbal, [0.2, 0.4, 0.6, 0.8]) AS e FROM customer)
+  SELECT c_custkey, CASE WHEN c_acctbal <= e[1] THEN 1 WHEN c_acctbal <= e[2] THEN 2 WHEN c_acctbal <= e[3] THEN 3 WHEN c_acctbal <= e[4] THEN 4 ELSE 5 END AS bal_cluster, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS two_cluster, 1 AS one_cluster FROM customer, q""")
+def cl1_quantile_clusters(s, d):
+    c = _table(s, d, "customer").select("c_custkey", F.col("c_acctbal").alias("bal_scaled"), (F.col("c_custkey") % 2).alias("two_scaled"), F.lit(3).alias("one_scaled"))
+    return clustering.quantile_clusters(c).select("c_custkey", "bal_cluster", "two_cluster", "one_cluster")
+
+
+@query("""WITH m AS (SELECT c_mktsegment AS l, row_number() OVER (ORDER BY avg(c_acctbal)) - 1 AS r FROM customer GROUP BY 1) SELECT c_custkey, CAST(r AS BIGINT) AS label FROM customer JOIN m ON m.l = c_mktsegment""")
+def cl2_relabel_by_mean(s, d):
+    c = _table(s, d, "customer").select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias("label"))
+    return clustering.relabel_by_mean(c, "c_acctbal", "label").select("c_custkey", "label")
+
+
+@query("SELECT 'binary' AS kind, 'flag' AS name UNION ALL SELECT 'numerical', 'c_acctbal' UNION ALL SELECT 'numerical', 'c_custkey' UNION ALL SELECT 'numerical', 'one'")
+def cl3_group_features(s, d):
+    c = _table(s, d, "customer").select("c_custkey", "c_acctbal", (F.col("c_custkey") % 2).cast("int").alias("flag"), F.lit(1).alias("one"))
+    numerical, binary = clustering.group_features(c)
+    return s.createDataFrame([("numerical", x) for x in numerical] + [("binary", x) for x in binary], "kind string, name string")
+
+
+def _modal(s, d):
+    o = _table(s, d, "orders")
+    return o.select("o_orderkey", F.sqrt(F.col("o_totalprice")).alias("uni"), (F.col("o_totalprice") / 100_000 + F.when(F.col("o_orderkey") % 3 == 0, 40.0).when(F.col("o_orderkey") % 3 == 1, 20.0).otherwise(0.0)).alias("multi"))
+
+
+@query()
+def cl4_5_modality(s, d):
+    return s.createDataFrame(list(clustering.modality(_modal(s, d), ["uni", "multi"]).items()), "feature string, modality string")
+
+
+@query("SELECT c_custkey, CAST(CASE WHEN z <= 0 THEN 0 WHEN z <= 1 THEN 1 WHEN z <= 2 THEN 2 ELSE 3 END AS BIGINT) AS label FROM (SELECT c_custkey, (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS z FROM customer)")
+def cl6_z_labels(s, d):
+    c = _table(s, d, "customer")
+    mu, sd = c.agg(F.avg("c_acctbal"), F.stddev_pop("c_acctbal")).first()
+    return c.select("c_custkey", clustering.z_labels(F.col("c_acctbal"), mu, sd).alias("label"))
+
+
+@query("SELECT o_orderkey, CAST(CASE o_orderkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS BIGINT) AS multi_cluster FROM orders")
+def cl7_8_mixture_clusters(s, d):
+    df = _modal(s, d)
+    return clustering.by_modality(df, ["multi"], {"multi": "multimodal"}).select("o_orderkey", "multi_cluster")
+
+
+@query()
+def cl10_11_graph_clusters(s, d):
+    a = features.fingerprint_features(features.country_mismatch(_apps(s, d)))
+    a = a.withColumn("odd", (F.col("app_id") % 2).cast("int"))
+    return clustering.graph_clusters(a.select("app_id", "country_mismatch", "ip_suspicious", "odd"), ["country_mismatch", "ip_suspicious", "odd"], order="app_id").select("app_id", "graph_cluster")
+
+
+#: A small scoring input: labels derived from keys.
+_LABELS = "SELECT o_orderkey AS app_id, o_orderkey % 4 AS username_digit_count_cluster, o_orderkey % 3 AS username_special_count_cluster, o_custkey % 4 AS username_entropy_cluster, o_custkey % 5 AS inv_semantic_score_cluster, o_orderkey % 5 AS domain_freq_cluster, o_custkey % 2 AS browser_suspicious_cluster FROM {orders}"
+_SCORED = f"""WITH l AS ({_LABELS.format(orders="orders")}), b AS (SELECT *, 0.1::DOUBLE * username_digit_count_cluster / 3 AS c1, 0.1::DOUBLE * username_special_count_cluster / 2 AS c2, 0.15::DOUBLE * username_entropy_cluster / 3 AS c3,
+  0.25::DOUBLE * inv_semantic_score_cluster / 4 AS c4, 0.2::DOUBLE * (1 - domain_freq_cluster / 4) AS c5, 0.2::DOUBLE * browser_suspicious_cluster AS c6 FROM l),
+  s AS (SELECT *, least(1, c1 + c2 + c3 + c4 + c5 + c6 + CASE WHEN browser_suspicious_cluster = 1 THEN 0.3 ELSE 0 END::DOUBLE + CASE WHEN inv_semantic_score_cluster >= 3 THEN 0.2 ELSE 0 END::DOUBLE) AS score FROM b),
+  t AS (SELECT *, CASE WHEN score <= 0.3 + 1e-12 THEN 'Low' WHEN score <= 0.6 + 1e-12 THEN 'Moderate' WHEN score <= 0.8 + 1e-12 THEN 'High' ELSE 'Critical' END AS tier FROM s) """
+
+
+def _scored(s, d):
+    return scoring.score(s.sql(_LABELS, orders=_table(s, d, "orders")))
+
+
+@query(_SCORED + "SELECT app_id, round(round(score, 9) * 20) AS fraud_score_20 FROM t")
+def sc1_3_scores(s, d):
+    df, base = scoring.base_score(s.sql(_LABELS, orders=_table(s, d, "orders")))
+    return df.select("app_id", F.round(F.round(scoring.boosted(df, base), 9) * 20).alias("fraud_score_20"))
+
+
+@query("SELECT o_orderkey AS app_id, CASE WHEN x <= 0.3 THEN 'Low' WHEN x <= 0.6 THEN 'Moderate' WHEN x <= 0.8 THEN 'High' WHEN x <= 1 THEN 'Critical' END AS tier FROM (SELECT o_orderkey, (o_totalprice - lo) / (hi - lo) AS x FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders))")
+def sc4_risk_tiers(s, d):
+    o = numeric.normalise(_table(s, d, "orders"), "o_totalprice")
+    return o.select(F.col("o_orderkey").alias("app_id"), scoring.risk_tier(F.col("o_totalprice")).alias("tier"))
+
+
+@query("SELECT t.tier, count(x.k) AS count FROM (VALUES ('Low'), ('Moderate'), ('High'), ('Critical')) t(tier) LEFT JOIN (SELECT o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 'Low' WHEN 1 THEN 'High' ELSE 'Critical' END AS tier FROM orders) x USING (tier) GROUP BY 1")
+def agg13_tier_summary(s, d):
+    k = F.col("o_orderkey") % 3
+    return scoring.tier_summary(_table(s, d, "orders").select(F.when(k == 0, "Low").when(k == 1, "High").otherwise("Critical").alias("fraud_risk_tier")))
+
+
+@query(_SCORED + "SELECT feature, weight, round(avg(c), 3) AS avg_contribution FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {w}::DOUBLE AS weight, c{i} AS c FROM b" for i, (f, w) in enumerate(scoring.WEIGHTS.items(), 1)) + ") GROUP BY 1, 2")
+def agg14_feature_importance(s, d):
+    return scoring.feature_importance(_scored(s, d)).select("feature", "weight", F.round("avg_contribution", 3).alias("avg_contribution"))
+
+
+@query("SELECT 'x' AS feature, c_custkey % 4 AS cluster_label, count(c_acctbal) AS count, round(avg(c_acctbal), 3) AS mean, round(stddev_samp(c_acctbal), 3) AS std FROM customer GROUP BY 2")
+def agg12_cluster_report(s, d):
+    c = _table(s, d, "customer").select(F.col("c_acctbal").alias("x"), (F.col("c_custkey") % 4).alias("x_cluster"))
+    return scoring.cluster_report(c)
+
+
+@query("SELECT c_custkey % 3 AS graph_cluster, count(*) AS size, round(avg(CAST(c_custkey % 2 AS DOUBLE)) * 100, 2) AS odd FROM customer GROUP BY 1")
+def agg15_binary_summary(s, d):
+    c = _table(s, d, "customer").select((F.col("c_custkey") % 3).alias("graph_cluster"), (F.col("c_custkey") % 2).cast("int").alias("odd"))
+    return scoring.binary_summary(c, ["odd"]).drop("tags")
+
+
+@query("SELECT c_mktsegment AS label, avg(c_acctbal) AS mean FROM customer GROUP BY 1")
+def agg16_cluster_means(s, d):
+    return scoring.cluster_means(_table(s, d, "customer").withColumnRenamed("c_mktsegment", "label"), "c_acctbal", "label")
+
+
+@query("SELECT o_custkey AS node, sum(w) AS total, count(*) AS n FROM (SELECT o_custkey, o_totalprice AS w FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders) GROUP BY 1")
+def set1_3_unions(s, d):
+    o = _table(s, d, "orders")
+    both = o.select(F.col("o_custkey").alias("node"), F.col("o_totalprice").alias("w")).unionByName(o.select(F.col("o_orderkey").alias("node"), F.col("o_totalprice").alias("w")))
+    return both.groupBy("node").agg(F.sum("w").alias("total"), F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def jn11_isolates(s, d):
+    return _table(s, d, "customer").join(_table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query()
+def sc5_pipeline_scores(s, d):
+    return flagship(s, d)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline over the applications without username similarity: scores and tiers."""
+    from riskloom.plans.pipeline import run_pipeline
+
+    a = _apps(spark, sf_dir).withColumn("app_id", F.col("app_id").cast("string"))
+    run = run_pipeline(a, with_similarity=False)
+    return run.scored.select("app_id", "fraud_score", "fraud_risk_tier")
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
