@@ -23,7 +23,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(warc.records(_table(spark, sf_dir, "pages")), path)
-    return warc.payload_facts(saved(warc.assemble(warc.read(spark, path)), "captures")[0])
+    return warc.payload_facts(saved(warc.assemble(warc.read(spark, path, payloads=False)), "captures")[0])
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

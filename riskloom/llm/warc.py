@@ -16,6 +16,8 @@ that are concurrent to nothing known come out as rows without a response.
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -24,21 +26,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import let
+
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = "record_id string, type string, concurrent_to string, refers_to string, uri string, digest string, payload binary, fields map<string,string>"
+RECORD = "record_id string, type string, concurrent_to string, refers_to string, uri string, digest string, payload binary, payload_bytes long, payload_digest string, fields map<string,string>"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32_sha1(payload: Column) -> Column:
     """Bare upper-case base32 of the SHA-1: 160 bits are exactly 32 digits of 5 bits, 4 to a 20-bit group."""
-    hexed = F.sha1(payload)
-    out = []
-    for at in range(0, 40, 5):
-        group = F.conv(F.substring(hexed, at + 1, 5), 16, 10).cast("int")
-        out += [F.substring(F.lit(_ALPHABET), F.shiftright(group, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*out)
+
+    def digits(hexed: Column) -> Column:
+        out = []
+        for at in range(0, 40, 5):
+            group = F.conv(F.substring(hexed, at + 1, 5), 16, 10).cast("int")
+            out += [F.substring(F.lit(_ALPHABET), F.shiftright(group, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
+        return F.concat(*out)
+
+    return let(F.sha1(payload), digits)
 
 
 def record_id(kind: str, key: Column) -> Column:
@@ -88,7 +95,7 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payloa
     return marked.select(F.explode(F.array(request, answer, meta)).alias("value"))
 
 
-def write(texts: DataFrame, path: str, records_per_file: int = 3_000, compression: str = "none") -> None:
+def write(texts: DataFrame, path: str, records_per_file: int = 3_000, compression: str = "gzip") -> None:
     """Write records (``records``) as archive files below ``path``."""
     texts.write.option("lineSep", CRLF).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
 
@@ -96,8 +103,6 @@ def write(texts: DataFrame, path: str, records_per_file: int = 3_000, compressio
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers with lower-case names, block) of each record of an archive."""
     if data[:2] == b"\x1f\x8b":
-        import gzip
-
         data = gzip.decompress(data)
     at = 0
     while at < len(data):
@@ -114,8 +119,12 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 2
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives below ``path``, with schema ``RECORD``."""
+def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """All records of the archives below ``path``, with schema ``RECORD``.
+
+    Size and digest of a payload are worked out from its bytes as they are read; without ``payloads`` the
+    bytes themselves go no further, so that assembly shuffles identifiers and digests only.
+    """
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +138,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     elif kind == "metadata":
                         fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode("utf-8").split(CRLF) if x)}
                     digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
-                    rows.append((h["warc-record-id"], kind, h.get("warc-concurrent-to"), h.get("warc-refers-to"), h.get("warc-target-uri"), digest, payload, list(fields.items())))
+                    size, own = (None, None) if payload is None else (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode())
+                    rows.append((h["warc-record-id"], kind, h.get("warc-concurrent-to"), h.get("warc-refers-to"), h.get("warc-target-uri"), digest, payload if payloads else None, size, own, list(fields.items())))
                     if len(rows) == 2000:
                         yield _batch(rows)
                         rows = []
@@ -139,8 +149,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string()] * 6 + [pa.binary(), pa.map_(pa.string(), pa.string())]
-    names = ["record_id", "type", "concurrent_to", "refers_to", "uri", "digest", "payload", "fields"]
+    kinds = [pa.string()] * 6 + [pa.binary(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.string())]
+    names = ["record_id", "type", "concurrent_to", "refers_to", "uri", "digest", "payload", "payload_bytes", "payload_digest", "fields"]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -157,7 +167,7 @@ def assemble(found: DataFrame) -> DataFrame:
         return F.min(F.when(test, F.struct("record_id", *fields)))
 
     kind = F.col("type")
-    answered = named.where(kind.isin("response", "revisit")).select("capture_id", F.struct("record_id", "type", "refers_to", "uri", "digest", "payload").alias("response"))
+    answered = named.where(kind.isin("response", "revisit")).select("capture_id", F.struct("record_id", "type", "refers_to", "uri", "digest", "payload", "payload_bytes", "payload_digest").alias("response"))
     rest = named.where(~kind.isin("response", "revisit")).withColumn("entries", F.array_sort(F.map_entries("fields")))
     rest = rest.groupBy("capture_id").agg(pick(kind == "request", "uri").alias("request"), pick(kind == "metadata", "entries").alias("metadata"), F.count("*").alias("n"))
     both = answered.join(rest, "capture_id", "full")
@@ -172,7 +182,7 @@ def payload_facts(captures: DataFrame) -> DataFrame:
     response that it refers to.
     """
     page = F.col("metadata.fields")["page-id"].cast("long")
-    own = captures.where("response IS NOT NULL").select("capture_id", page.alias("page_id"), F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"), F.octet_length("response.payload").cast("long").alias("_bytes"), F.when(F.col("response.payload").isNotNull(), base32_sha1(F.col("response.payload"))).alias("_digest"))
+    own = captures.where("response IS NOT NULL").select("capture_id", page.alias("page_id"), F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"), F.col("response.payload_bytes").alias("_bytes"), F.col("response.payload_digest").alias("_digest"))
     targets = own.where("record_type = 'response'").select(F.col("capture_id").alias("_id"), F.col("page_id").alias("refers_to"), F.col("_bytes").alias("_b"), F.col("_digest").alias("_d"))
     joined = own.join(targets, F.col("_to") == F.col("_id"), "left")
     return joined.select("page_id", F.coalesce("_bytes", "_b").alias("payload_bytes"), F.coalesce("_digest", "_d").alias("payload_digest"), "record_type", "refers_to")
