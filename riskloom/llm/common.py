@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from bisect import bisect_left, insort
+from itertools import accumulate
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -130,3 +132,22 @@ def components(edges: DataFrame, a: str, b: str, name: str, max_rounds: int = 60
         raise RuntimeError("components did not settle")
     tops = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)
+
+
+class Covered:
+    """Spans to test others against, in logarithmic time; those given at first may overlap, those added do not."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()) -> None:
+        given = sorted(spans)
+        self._starts = [s for s, _ in given]
+        self._ends = list(accumulate((e for _, e in given), max))
+        self._added: list[tuple[int, int]] = []
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether [start, end) shares a place with one of the spans."""
+        i, j = bisect_left(self._starts, end), bisect_left(self._added, (end,))
+        return (i > 0 and self._ends[i - 1] > start) or (j > 0 and self._added[j - 1][1] > start)
+
+    def add(self, start: int, end: int) -> None:
+        """Add a span that meets none so far."""
+        insort(self._added, (start, end))

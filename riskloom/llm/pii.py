@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.boosting import BoostedTrees, threshold_for
+from riskloom.llm.common import Covered
 
 KINDS = ("email", "ip", "card", "phone")
 TRAINING_ROWS, PRECISION = 6_000, 0.99
@@ -203,26 +204,20 @@ def trained(n: int = TRAINING_ROWS, precision: float = PRECISION) -> tuple[Boost
 
 def added_spans(text: str, base: list[Span], model: BoostedTrees, limits: dict[str, float]) -> list[Span]:
     """Selected candidates, best first, none overlapping a base span or a better one."""
-    proposed = candidates(text)
-    if base and proposed:
-        starts = sorted((s, e) for _, s, e in base)
-        proposed = [c for c in proposed if not _overlaps(starts, c[1], c[2])]
+    covered = Covered([(s, e) for _, s, e in base])
+    proposed = [c for c in candidates(text) if not covered.meets(c[1], c[2])]
     if not proposed:
         return []
     p = model.predict(np.array([features(text, c) for c in proposed]))
     taken: list[Span] = []
     for i in np.argsort(-p, kind="stable").tolist():
         c = proposed[i]
-        if p[i] >= limits[c[0]] and not _overlaps(sorted((s, e) for _, s, e in taken), c[1], c[2]):
+        if p[i] >= limits[c[0]] and not covered.meets(c[1], c[2]):
+            covered.add(c[1], c[2])
             taken.append(c)
     return taken
 
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    """Whether [start, end) meets one of the spans, sorted by start; base spans of two kinds may nest."""
-    return any(s < end and start < e for s, e in spans)
-
-
 def render(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 

@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import let, saved
+from riskloom.llm.common import Covered, let, saved
 
 KINDS = ("assign", "access", "hex", "random")
-RATE, BINS, LEAST, MOST = 0.001, 400, 20, 512
+RATE, BINS, LEAST = 0.001, 400, 20
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
@@ -67,7 +67,7 @@ def _class(c: str) -> int:
 
 def battery(token: str) -> float:
     """p-value of a token under "ordinary identifier"; 1 if true randomness is rejected."""
-    body = token.rstrip("=")[:MOST]
+    body = token.rstrip("=")
     n = len(body)
     if n < LEAST or body.isdigit():
         return 1.0
@@ -95,9 +95,9 @@ def battery(token: str) -> float:
 
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, float]]:
     """(start, end, p) of encoding runs that meet no base span."""
-    out, taken = [], sorted((s, e) for _, s, e in base)
+    out, covered = [], Covered([(s, e) for _, s, e in base])
     for m in _TOKEN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e in taken):
+        if not covered.meets(m.start(), m.end()):
             out.append((m.start(), m.end(), battery(m.group())))
     return out
 
