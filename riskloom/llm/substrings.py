@@ -13,8 +13,8 @@ few: about one in 75 bytes. An anchor's *context* is all bytes of the windows th
    finds the common extension in log2(LENGTH) steps, the next byte decides. A bottom-up mergesort over
    whole arrays brings equal windows together; neighbours with a common extension of LENGTH bytes are
    verified byte by byte.
-   Anchors with more than ``HOT`` contexts would be too much for one task: their windows are dealt by
-   (offset in the window, hash of the window) and sorted in the same way, in as many tasks as they need.
+   Anchors with more than ``HOT`` contexts would be too much for one task. Common extensions of theirs are
+   searched by range hashes in shuffles (``hot_intervals``), from wide ranges of window offsets to single ones.
 4. Intervals meet their documents again, which lose the union.
 
 Defined results: null texts are empty; texts under LENGTH bytes lose nothing; matches never cross documents;
@@ -36,6 +36,8 @@ from riskloom.llm.common import saved
 from riskloom.llm.embeddings import grouped
 
 LENGTH, GRAM, HOT = 200, 48, 512
+#: Widths of the ranges of window offsets by which hot anchors are searched, each a divisor of the one before.
+CELLS = (32, 8, 2, 1)
 #: Odd multipliers of the polynomial hashes (mod 2^64) and of the mixer.
 BASE, BASE2, MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
@@ -263,6 +265,79 @@ def _intervals(tables: list[pa.Table], length: int) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(table.column("row").to_numpy()[owner]), pa.array((first[owner] + start).astype(np.int32)), pa.array((first[owner] + end + length).astype(np.int32))], names=["row", "start", "end"])
 
 
+def cell_keys(width: int, length: int):
+    """For mapInArrow: the strings by which a context's cell of window offsets is looked up.
+
+    The offset of a window is its anchor's place in it; a cell holds ``width`` offsets. Its hull is the union
+    of its windows (kind 1, only where the context has them all), its core what all of them share (kind 0).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, kind, digest, part = [], [], [], []
+            first, place, cell = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("first", "place", "cell"))
+            for i, value in enumerate(batch.column(batch.schema.get_field_index("bytes")).to_pylist()):
+                prefix = prefix_hashes(np.frombuffer(value, dtype=np.uint8))
+                most = place[i] - first[i]
+                least = most - (len(value) - length)
+                low, high = cell[i] * width, (cell[i] + 1) * width - 1
+                bounds = [(most - low, max(most - low, most - high + length))] if width > 1 else []
+                if least <= low and high <= most:
+                    bounds.append((most - high, most - low + length))
+                start, end = np.array(bounds, dtype=np.int64).reshape(-1, 2).T
+                digest += mixed(range_hash(prefix, start, end)).view(np.int64).tolist()
+                hull = least <= low and high <= most
+                kind += [0] * (len(bounds) - hull) + [1] * hull
+                part += [b""] * (len(bounds) - hull) + [value[s:e] for s, e in bounds[len(bounds) - hull :]]
+                at += [i] * len(bounds)
+            if at:
+                taken = pa.Table.from_batches([batch]).take(pa.array(at)).combine_chunks()
+                columns = [c.combine_chunks() for c in taken.columns]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(kind, pa.int32()), pa.array(digest, pa.int64()), pa.array(part, pa.binary())], names=[*batch.schema.names, "kind", "d", "part"])
+
+    return run
+
+
+def hot_intervals(contexts: DataFrame, length: int = LENGTH, cells: tuple[int, ...] = CELLS) -> DataFrame:
+    """Intervals (row, start, end) of the repeated windows of anchors with many contexts, by search over extensions.
+
+    A cell whose hull another context has too is repeated as a whole, byte for byte; one whose core nobody
+    else has holds no repeated window; others are cut into narrower cells, down to single windows. Of the
+    contexts that share a hull one goes on for those that share only the core. A context on the edge of a
+    passage thus takes part with a few cells a level instead of all its windows, and contexts with the same
+    string meet only in partially aggregated counts.
+    """
+
+    def cut(df: DataFrame, width: int, parent: int | None = None) -> DataFrame:
+        most = F.col("place") - F.col("first")
+        low = F.floor((most - (F.length("bytes") - length)) / width).cast("int")
+        high = F.floor(most / width).cast("int")
+        if parent:
+            low, high = F.greatest(low, F.col("cell") * (parent // width)), F.least(high, (F.col("cell") + 1) * (parent // width) - 1)
+        return df.select("row", "h", "first", "place", "own", "bytes", F.explode(F.sequence(low, high)).alias("cell"))
+
+    own = ["row", "h", "first", "place", "own", "bytes", "cell"]
+    state = cut(contexts.withColumn("own", ~F.col("whole")), cells[0])
+    found = contexts.sparkSession.createDataFrame([], "row long, start int, end int")
+    if contexts.isEmpty():
+        return found
+    for level, width in enumerate(cells):
+        keys = state.mapInArrow(cell_keys(width, length), "row long, h long, first int, place int, own boolean, bytes binary, cell int, kind int, d long, part binary")
+        shared = keys.groupBy(*[F.col(c).alias(f"{c}_") for c in ("h", "cell", "kind", "d", "part")]).agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one")).where("n > 1")
+        # the bytes are no key of the join, so that it shuffles anew and AQE can split a string that very many share
+        same = [F.col(c) == F.col(f"{c}_") for c in ("h", "cell", "kind", "d")] + [F.col("part").between(F.col("part_"), F.col("part_"))]
+        count = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("n")))
+        judged = keys.join(shared, same).groupBy(*own).agg(count(0).alias("cores"), count(1).alias("hulls"), F.max((F.col("kind") == 1) & (F.col("one") == F.struct("row", "first"))).alias("leads"))
+        judged, _ = saved(judged, "cells")
+        low = F.col("cell") * width
+        found = found.unionByName(judged.where("own AND hulls > 1").select("row", (F.col("place") - low - (width - 1)).alias("start"), (F.col("place") - low + length).alias("end")))
+        state = judged.where("hulls IS NULL OR leads AND cores > hulls").withColumn("own", F.col("own") & F.col("hulls").isNull())
+        if width == cells[-1] or state.isEmpty():
+            break
+        state = cut(state, cells[level + 1], width)
+    return found
+
+
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, with_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept (binary)]."""
     kind = dict(df.dtypes)[doc_id]
@@ -299,22 +374,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     schema = "row long, start int, end int"
     cool = contexts.where(F.col("kinds") <= hot).repartition("h").sortWithinPartitions("h").mapInArrow(sort_groups(["h"]), schema)
 
-    def explode_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                data = np.frombuffer(r["bytes"], dtype=np.uint8)
-                at = np.arange(len(data) - length + 1)
-                prefix = prefix_hashes(data)
-                offset = (r["place"] - r["first"]) - at
-                deal = mixed(range_hash(prefix, at, at + length) ^ mixed(offset.astype(np.uint64)))
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["row"])), pa.array(np.full(n, r["h"])), pa.array(deal.view(np.int64)), pa.array(np.full(n, r["whole"])), pa.array((r["first"] + at).astype(np.int32)), pa.array(np.full(n, r["place"]), pa.int32()), pa.array([r["bytes"][i : i + length] for i in at.tolist()], pa.binary())], names=["row", "h", "d", "whole", "first", "place", "bytes"])
-
-    # one window of each kind is sorted; how often the kind occurs aggregates partially
-    windows = contexts.where(F.col("kinds") > hot).select("row", "h", "whole", "first", "place", "bytes").mapInArrow(explode_windows, "row long, h long, d long, whole boolean, first int, place int, bytes binary")
-    windows, _ = saved(windows.withColumn("off", F.col("place") - F.col("first")), "windows")
-    again = windows.groupBy(F.col("h").alias("h_"), F.col("off").alias("off_"), F.col("d").alias("d_"), F.col("bytes").alias("b_")).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    warm = windows.where("NOT whole").join(again, (F.col("h") == F.col("h_")) & (F.col("off") == F.col("off_")) & (F.col("d") == F.col("d_")) & (F.col("bytes") == F.col("b_")), "left_semi").select("row", F.col("first").alias("start"), (F.col("first") + length).alias("end"))
+    warm = hot_intervals(contexts.where(F.col("kinds") > hot), length)
     spans = whole.unionByName(cool).unionByName(warm).groupBy(F.col("row").alias("row_")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

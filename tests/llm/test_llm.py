@@ -74,6 +74,9 @@ def test_mixing(spark, docs, empty):
     per = out.groupby("source", dropna=False).agg(t=("taken", "sum"), g=("target", "first"))
     assert ((per.t - per.g).abs() < 1).all() and (out.taken <= 2 * out["size"]).all()
     assert mixing.mix(docs).toPandas().sort_values("doc_id").taken.tolist() == out.sort_values("doc_id").taken.tolist()
+    narrow = mixing.mix(docs, columns=[]).toPandas()
+    shown = ["doc_id", "size", "source_size", "target", "taken"]
+    assert set(narrow[shown].astype(str).itertuples(index=False, name=None)) == set(out[shown].astype(str).itertuples(index=False, name=None))
     con = duckdb.connect()
     con.register("documents", docs.toPandas())
     want = con.sql(f"SELECT doc_id, target FROM ({OP6_TARGETS})").df().set_index("doc_id").target
@@ -241,6 +244,28 @@ def test_substrings(spark, docs, empty, hot):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substrings_hot_search(spark, seed):
+    """Passages cut at random places, so that windows of one context repeat in different partners, or in none."""
+    r = random.Random(seed)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = noise(700)
+    texts = ["", None, passage, passage]
+    for _ in range(90):
+        a = r.randrange(500)
+        b = r.randrange(a + 150, 701)
+        body = passage[a:b]
+        if r.random() < 0.3:
+            i = r.randrange(len(body))
+            body = body[:i] + r.choice("xyz") + body[i + 1 :]
+        texts.append(noise(r.choice([0, 5, 40])) + body + noise(r.choice([0, 3, 60])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_repeats(texts)
+    for hot in (0, 8):
+        got = substrings.remove_repeats(df, hot=hot).orderBy("doc_id").toPandas()
+        assert list(got.drop(columns="doc_id").itertuples(index=False, name=None)) == want
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "mix_sources", "pack_sequences"]
