@@ -73,18 +73,21 @@ def buckets_for(rows: int, per_bucket: int = 20_000) -> int:
     return max(16, -(-rows // per_bucket))
 
 
-def running(df: DataFrame, group: list[str], order: list[str], value: str, n_buckets: int, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows of the same group that come before this one.
+def bucket_of(key: Column, n_buckets: int) -> Column:
+    """The range of [0, 2^62) that a ``spread`` hash falls into."""
+    return F.floor(key / F.lit((1 << 62) // n_buckets + 1)).cast("int")
 
-    ``order`` starts with a well-spread non-negative long (a hash); groups are cut into ``n_buckets`` ranges
-    of it, so that a group with a third of all rows is many windows instead of one task. Only the
-    per-bucket sums (groups x buckets rows) meet by group.
-    """
-    cut = df.withColumn("_bucket", F.floor(F.col(order[0]) / F.lit((1 << 62) // n_buckets + 1)).cast("int"))
+
+def bases(cut: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Per group and ``_bucket``: ``_base``, the sum of ``value`` over the group's earlier buckets."""
     sums = cut.groupBy(*group, "_bucket").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-    base = sums.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"), "_base")
+    return sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+
+
+def on_bases(cut: DataFrame, base: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out`` (see ``running``) and the further columns of ``base`` to rows with ``_bucket``."""
+    base = base.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"), *[c for c in base.columns if c not in (*group, "_bucket", "_sum")])
     on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col("_bucket") == F.col("_b")]
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     cut = cut.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
@@ -92,6 +95,17 @@ def running(df: DataFrame, group: list[str], order: list[str], value: str, n_buc
     return joined.withColumn(out, (F.col("_base") + F.col("_in")).cast("long")).drop("_bucket", "_in", "_base", "_b", *[f"_g_{g}" for g in group])
 
 
+def running(df: DataFrame, group: list[str], order: list[str], value: str, n_buckets: int, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows of the same group that come before this one.
+
+    ``order`` starts with a well-spread non-negative long (a hash); groups are cut into ``n_buckets`` ranges
+    of it, so that a group with a third of all rows is many windows instead of one task. Only the
+    per-bucket sums (groups x buckets rows) meet by group.
+    """
+    cut = df.withColumn("_bucket", bucket_of(F.col(order[0]), n_buckets))
+    return on_bases(cut, bases(cut, group, value), group, order, value, out)
+
+
 def spread(*cols: Column | str) -> Column:
     """A hash in [0, 2^62) to order or deal rows by, the same in every run."""
     return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 62) - 1))

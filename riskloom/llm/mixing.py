@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import BLANK, buckets_for, let, n_words_of, running, spread
+from riskloom.llm.common import BLANK, bases, bucket_of, buckets_for, n_words_of, on_bases, saved, spread
 
 WEIGHTS, BUDGET, MAX_REPEAT = (5, 2, 1), 1.5, 2
 #: End weight over start weight by place in the cycle of weights: later sources are phased in, the first out.
@@ -59,19 +59,26 @@ def position(share: Column, tilt: Column) -> Column:
     return F.when(F.abs(bend) < 1e-9, share).otherwise(curved)
 
 
-def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", weights: tuple[int, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT, seed: int = 7) -> DataFrame:
+def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", weights: tuple[int, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT, seed: int = 7, columns: list[str] | None = None) -> DataFrame:
     """Add ``size, source_size, target, taken`` and ``positions``: the times of a document's copies.
 
     A source takes its whole stream floor(target / size) times and then a prefix of it; the document at the
     cut is taken in part, so that every source's taken words are its target rounded to a word.
+    ``columns``: those of ``df`` that the result needs beside the id and the source; all if None.
     """
-    sized = df.withColumn("size", n_words_of(F.col(f"`{text}`"))).withColumn("_key", spread(F.lit(seed), F.col(f"`{doc_id}`"))).withColumn("_tie", F.xxhash64(F.lit(seed), F.col(f"`{text}`")))
-    n = max(1, df.count())
-    totals = sized.groupBy(source).agg(F.sum("size").alias("source_size"))
-    plan = targets(totals, source, "source_size", weights, budget, max_repeat)
+    key, tie = spread(F.lit(seed), F.col(f"`{doc_id}`")), F.xxhash64(F.lit(seed), F.col(f"`{text}`"))
+    sized = df.withColumns({"size": n_words_of(F.col(f"`{text}`")), "_key": key, "_tie": tie})
+    # sizes are worked out once for all sums, and for the rows themselves if no text is wanted
+    kept = list(dict.fromkeys([*(columns or []), doc_id, source, "size", "_key", "_tie"]))
+    narrow, _ = saved(sized.select(*[f"`{c}`" for c in kept]), "sizes")
+    n_buckets = buckets_for(max(1, narrow.count()))
+    narrow = narrow.withColumn("_bucket", bucket_of(F.col("_key"), n_buckets))
+    starts, _ = saved(bases(narrow, [source], "size"), "starts")
+    plan = targets(starts.groupBy(source).agg(F.sum("_sum").alias("source_size")), source, "source_size", weights, budget, max_repeat)
     plan = plan.select(F.col(source).alias("_source"), "source_size", "target", F.element_at(F.array(*[F.lit(t) for t in tilts]), F.col("rank") % len(tilts) + 1).alias("_tilt"))
-    stream = running(sized, [source], ["_key", doc_id, "_tie"], "size", buckets_for(n), "_from")
-    both = stream.join(plan, F.col(source).eqNullSafe(F.col("_source")))
+    starts, _ = saved(starts.join(plan, F.col(source).eqNullSafe(F.col("_source"))).drop("_source"), "plan")
+    rows = narrow if columns is not None else sized.withColumn("_bucket", bucket_of(F.col("_key"), n_buckets))
+    both = on_bases(rows, starts, [source], ["_key", doc_id, "_tie"], "size", "_from")
     want = F.round("target").cast("long")
     passes = F.sequence(F.lit(0), F.lit(max_repeat))
 
@@ -82,7 +89,7 @@ def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str
 
     copies = F.when(F.col("size") > 0, F.filter(F.transform(passes, copy), lambda c: c["words"] > 0)).otherwise(F.array().cast("array<struct<position:double,words:bigint>>"))
     out = both.withColumn("copies", copies).withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]))
-    return out.drop("_key", "_tie", "_from", "_source", "_tilt")
+    return out.drop("_key", "_tie", "_from", "_tilt")
 
 
 def first_words(text: Column, n: Column) -> Column:

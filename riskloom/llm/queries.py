@@ -47,7 +47,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), columns=[])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
