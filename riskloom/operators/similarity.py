@@ -1,9 +1,8 @@
 """Near-duplicate usernames: four views, MinHash banding, exact refinement, components and features.
 
 Candidates come from band hashes of MinHash signatures, as rows (view, band, hash) joined on equality. A
-band bucket that many usernames share (short shapes collapse to a handful of strings) would pair all of
-them; buckets are therefore joined through blocks by length and leading characters only where they exceed
-``max_bucket``, and what that leaves out is reported in ``skipped``. Kernels that Spark lacks (Damerau,
+band bucket that many usernames share (short shapes collapse to a handful of strings) is joined whole: users with
+equal strings in a view are one class, and buckets of many classes are joined tile by tile. Kernels that Spark lacks (Damerau,
 Jaro-Winkler, token sets) run once per distinct candidate pair, in one Arrow UDF.
 """
 
@@ -78,30 +77,38 @@ def exact_candidates(users: DataFrame, view: str = "raw", threshold: float | Non
     return shared.withColumn("jaccard", j).where(F.col("jaccard") >= (threshold or default)).select("user_1", "user_2", "jaccard")
 
 
-def candidates(users: DataFrame, views: tuple[str, ...] = tuple(VIEWS), num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> tuple[DataFrame, DataFrame]:
-    """JN13, SIM4, SET4: (user_1, user_2, jaccard_raw_view) over all views, and the blocked buckets.
+def candidates(users: DataFrame, views: tuple[str, ...] = tuple(VIEWS), num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> DataFrame:
+    """JN13, SIM4, SET4: (user_1, user_2, jaccard_raw_view), every pair that shares a band bucket in one of the views.
 
-    Equal bands of one view name the same bucket for whole groups of users, so pairs are formed once per
-    distinct (view, hash) and made distinct over views.
+    Users with one string in a view are a class there: classes meet in buckets, and their members are paired
+    afterwards. Buckets with over ``max_bucket`` classes are cut into tiles, and all pairs of tiles are joined.
     """
-    index = None
+    pairs = None
     for view in views:
-        part = view_index(users, view, num_perm)
-        index = part if index is None else index.unionByName(part)
-    key = ["view", "band", "hash"]
-    counts = index.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
-    sized = index.join(counts, key)
-    block = F.when(F.col("_n") > max_bucket, F.concat_ws("|", F.length("user").cast("string"), F.substring("user", 1, 2))).otherwise(F.lit(""))
-    keyed = sized.withColumn("_b", block)
-    a, b = keyed.alias("a"), keyed.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in (*key, "_b")]
-    pairs = a.join(b, [*same, F.col("a.user") < F.col("b.user")]).select(F.col("a.user").alias("user_1"), F.col("b.user").alias("user_2")).distinct()
+        named = users.where("user IS NOT NULL").select("user", TRANSFORMS[view](F.col("user")).alias("_v"))
+        tops = named.groupBy("_v").agg(F.min("user").alias("rep"))
+        met = _meetings(view_index(tops.select(F.col("rep").alias("user")), view, num_perm), max_bucket)
+        met = met.unionByName(tops.select(F.col("rep").alias("rep_1"), F.col("rep").alias("rep_2")))
+        members = named.join(tops, "_v").select("rep", "user")
+        one = members.select(F.col("rep").alias("rep_1"), F.col("user").alias("_x"))
+        two = members.select(F.col("rep").alias("rep_2"), F.col("user").alias("_y"))
+        part = met.join(one, "rep_1").join(two, "rep_2").where("rep_1 <> rep_2 OR _x < _y").select(F.least("_x", "_y").alias("user_1"), F.greatest("_x", "_y").alias("user_2"))
+        pairs = part if pairs is None else pairs.unionByName(part)
     signed = users.select("user", signature(text.shingles(F.col("user"), VIEWS["raw"][1]), num_perm).alias("_s"))
     left = signed.select(F.col("user").alias("user_1"), F.col("_s").alias("_a"))
     right = signed.select(F.col("user").alias("user_2"), F.col("_s").alias("_c"))
-    out = pairs.join(left, "user_1").join(right, "user_2").select("user_1", "user_2", jaccard_estimate(F.col("_a"), F.col("_c")).alias("jaccard_raw_view"))
-    skipped = sized.where(F.col("_n") > max_bucket).groupBy("view", "band", "hash").agg(F.count("*").alias("n_users"))
-    return out, skipped
+    return pairs.distinct().join(left, "user_1").join(right, "user_2").select("user_1", "user_2", jaccard_estimate(F.col("_a"), F.col("_c")).alias("jaccard_raw_view"))
+
+
+def _meetings(index: DataFrame, tile: int) -> DataFrame:
+    """(rep_1, rep_2): distinct pairs of one view's ``index`` that share a bucket."""
+    key = ["band", "hash"]
+    sizes = index.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").select(*key, F.ceil(F.col("_n") / tile).cast("int").alias("_tiles"))
+    sized = index.join(sizes, key).withColumn("_t", F.pmod(F.xxhash64("user"), "_tiles").cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
+    a = sized.select(*key, F.col("_t").alias("_i"), others.alias("_j"), F.col("user").alias("rep_1"))
+    b = sized.select(*key, others.alias("_i"), F.col("_t").alias("_j"), F.col("user").alias("rep_2"))
+    return a.join(b, [*key, "_i", "_j"]).where("rep_1 < rep_2").select("rep_1", "rep_2").distinct()
 
 
 def damerau(a: str, b: str) -> int:
@@ -246,7 +253,6 @@ class Similarity:
     user_clusters: DataFrame
     cluster_summary: DataFrame
     cluster_links: DataFrame
-    skipped: DataFrame
 
 
 def extract_clusters(pairs: DataFrame, users: DataFrame, min_sim: float = 0.70, isolates: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -324,14 +330,13 @@ def username_similarity(df: DataFrame, column: str = "email_username", min_sim:
     if column not in df.columns:
         raise ValueError(f"no column {column}")
     users = usernames(df, column)
-    proposed, skipped = candidates(users, views, num_perm, max_bucket)
-    pairs = refine(proposed, min_sim).persist()
+    pairs = refine(candidates(users, views, num_perm, max_bucket), min_sim).persist()
     clusters, summary = extract_clusters(pairs, users, min_sim)
     annotated = annotate_pairs(pairs, clusters)
     features = user_features(annotated, min_sim, neighbours)
     facts = clusters.join(features, "email_username", "left").select(F.col("email_username").alias("_u"), F.col("cluster_id").alias("username_similarity_cluster"), *[F.coalesce(c, F.lit(0)).cast(t).alias(c) for c, t in (("username_similarity_score", "double"), ("username_similarity_mean_score", "double"), ("similarity_neighbors_count", "long"), ("too_many_similar_usernames_flag", "int"))])
     rows = df.join(facts, text.norm(F.col(column)) == F.col("_u"), "left").drop("_u")
-    return Similarity(rows, annotated, clusters, summary, cluster_links(clusters, summary, num_perm=num_perm), skipped)
+    return Similarity(rows, annotated, clusters, summary, cluster_links(clusters, summary, num_perm=num_perm))
 
 
 def similarity_model(users: DataFrame, **settings) -> Similarity:
