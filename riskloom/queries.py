@@ -265,17 +265,17 @@ _PAIRS = MAIL + """, x AS (SELECT DISTINCT lower(u) AS u FROM mail), sh AS (SELE
 
 @query()
 def sim1_4_lsh_candidates(s, d):
-    return similarity.candidates(_short_users(s, d), ("raw", "sep", "deleet"))
+    return similarity.candidates(_short_users(s, d))
 
 
 @query()
 def sim5_6_refined_pairs(s, d):
-    return similarity.refine(similarity.candidates(_short_users(s, d), ("raw", "sep", "deleet")))
+    return similarity.refine(similarity.candidates(_short_users(s, d)))
 
 
 def _stage(s, d):
     users = _short_users(s, d)
-    pairs = similarity.refine(similarity.candidates(users, ("raw", "sep", "deleet")))
+    pairs = similarity.refine(similarity.candidates(users))
     clusters, summary = similarity.extract_clusters(pairs, users)
     return similarity.annotate_pairs(pairs, clusters), clusters, summary
 

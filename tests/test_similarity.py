@@ -35,3 +35,14 @@ def test_hot_buckets(spark, max_bucket):
     got = plain(similarity.candidates(users, max_bucket=max_bucket))
     assert got == brute(users, tuple(similarity.VIEWS))
     assert ("maria.lopez1", "maria.lopez22") in got and ("maria.lopez22", "xmaria.lopez22") in got
+
+
+def test_registered_views(spark, tmp_path):
+    """The registered query proposes what the four views propose, the shape view's pairs among it."""
+    for t in ("orders", "customer", "nation", "part"):
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        (df.orderBy("o_orderkey").limit(60) if t == "orders" else df).write.parquet(f"{tmp_path}/{t}.parquet")
+    users = own._short_users(spark, str(tmp_path))
+    got = plain(own.queries()["sim1_4_lsh_candidates"](spark, str(tmp_path)))
+    assert got == brute(users, ("raw", "sep", "shape", "deleet"))
+    assert got - brute(users, ("raw", "sep", "deleet"))
