@@ -46,3 +46,20 @@ def test_registered_views(spark, tmp_path):
     got = plain(own.queries()["sim1_4_lsh_candidates"](spark, str(tmp_path)))
     assert got == brute(users, ("raw", "sep", "shape", "deleet"))
     assert got - brute(users, ("raw", "sep", "deleet"))
+
+
+def test_long_chain_and_hot_node(spark):
+    """A chain of 300 nodes and a star of 500 against a union-find."""
+    edges = [(f"c{i:04}", f"c{i + 1:04}") for i in range(300)] + [("m", f"s{i}") for i in range(500)]
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = similarity.components(spark.createDataFrame(edges, "user_1 string, user_2 string"))
+    assert {r["node"]: r["root"] for r in got.collect()} == {x: root(x) for x in list(parent)}
