@@ -6,15 +6,15 @@ anchors at equal places, so only windows whose anchors' hashes are equal can be
 few: about one in 75 bytes. An anchor's *context* is all bytes of the windows that it anchors.
 
 1. Documents give narrow anchor rows; counts by (anchor, context hash) aggregate partially. Contexts that
-   occur twice or more are repeats as a whole, and need no text: copies cost nothing beyond this.
-2. Of anchors that also have other contexts, those and one of each repeated kind get their bytes, in one
-   join of documents with the anchors that ask for them.
+   occur twice or more are repeats as a whole.
+2. One join of documents with the anchors that ask: repeated contexts are verified by the SHA-256 of their bytes
+   (a collision does all anew with other hashes), and one of each kind gives its bytes where an anchor has
+   several kinds.
 3. Their windows are suffixes to sort. Suffixes are compared through prefix polynomial hashes: binary search
    finds the common extension in log2(LENGTH) steps, the next byte decides. A bottom-up mergesort over
    whole arrays brings equal windows together; neighbours with a common extension of LENGTH bytes are
-   verified byte by byte.
-   Anchors with more than ``HOT`` contexts would be too much for one task. Common extensions of theirs are
-   searched by range hashes in shuffles (``hot_intervals``), from wide ranges of window offsets to single ones.
+   verified byte by byte. A task sorts groups of at most ``GROUP`` contexts; the windows of anchors with
+   more are first split into such groups by cells of offsets and their cores (``split_groups``).
 4. Intervals meet their documents again, which lose the union.
 
 Defined results: null texts are empty; texts under LENGTH bytes lose nothing; matches never cross documents;
@@ -29,14 +29,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import saved
+from riskloom.llm.common import remove, saved
 from riskloom.llm.embeddings import grouped
 
-LENGTH, GRAM, HOT = 200, 48, 512
-#: Widths of the ranges of window offsets by which hot anchors are searched, each a divisor of the one before.
+LENGTH, GRAM = 200, 48
+#: Contexts that one task sorts together, at most: about 150 windows each.
+GROUP = 2_048
+#: Widths of the cells of window offsets by which larger groups are split, each a divisor of the one before.
 CELLS = (32, 8, 2, 1)
 #: Odd multipliers of the polynomial hashes (mod 2^64) and of the mixer.
 BASE, BASE2, MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
@@ -59,12 +61,18 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_POWERS = {b: Powers(b) for b in (BASE, BASE2)}
+_POWERS: dict[int, Powers] = {}
+
+
+def powers(base: int) -> Powers:
+    if base not in _POWERS:
+        _POWERS[base] = Powers(base)
+    return _POWERS[base]
 
 
 def prefix_hashes(data: np.ndarray, base: int = BASE) -> np.ndarray:
     """P[i] = sum of (byte + 1) x base^j over j < i, mod 2^64."""
-    up, _ = _POWERS[base].to(len(data) + 1)
+    up, _ = powers(base).to(len(data) + 1)
     out = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=out[1:])
     return out
@@ -72,7 +80,7 @@ def prefix_hashes(data: np.ndarray, base: int = BASE) -> np.ndarray:
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
     """The hash of bytes [start, end), the same wherever they stand."""
-    _, down = _POWERS[base].to(len(prefix))
+    _, down = powers(base).to(len(prefix))
     return (prefix[end] - prefix[start]) * down[start]
 
 
@@ -92,7 +100,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM, base: int = BASE2) -> tuple[np.ndarray, ...]:
     """(hash, context hash, place, first window, last window) of each anchor of a text of at least ``length`` bytes."""
     prefix = prefix_hashes(data)
     at = np.arange(len(data) - gram + 1)
@@ -102,13 +110,13 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     last = np.concatenate([first[1:] - 1, [len(owner) - 1]])
     place = owner[first]
-    second = prefix_hashes(data, BASE2)
+    second = prefix_hashes(data, base)
     end = last + length
-    context = mixed(range_hash(prefix, first, end) ^ mixed(range_hash(second, first, end, BASE2)) ^ mixed(((place - first).astype(np.uint64) << np.uint64(32)) | (end - first).astype(np.uint64)))
+    context = mixed(range_hash(prefix, first, end) ^ mixed(range_hash(second, first, end, base)) ^ mixed(((place - first).astype(np.uint64) << np.uint64(32)) | (end - first).astype(np.uint64)))
     return h[place], context, place, first, last
 
 
-def anchor_rows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def anchor_rows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = 64, base: int = BASE2) -> DataFrame:
     """(row, h, c, place, first, last) for the anchors of ``docs`` (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,9 +126,9 @@ def anchor_rows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = np.frombuffer(value.as_buffer() or b"", dtype=np.uint8) if value.is_valid else np.empty(0, dtype=np.uint8)
                 if len(data) >= length:
-                    found = anchors(data, length, gram)
-                    parts.append((np.full(len(found[0]), row), *found))
-                    n += len(found[0])
+                    h, context, *rest = anchors(data, length, gram, base)
+                    parts.append((np.full(len(h), row), h, context >> np.uint64(64 - bits), *rest))
+                    n += len(h)
                 if n >= 200_000:
                     yield _anchor_batch(parts)
                     parts, n = [], 0
@@ -266,116 +274,143 @@ def _intervals(tables: list[pa.Table], length: int) -> pa.RecordBatch | None:
 
 
 def cell_keys(width: int, length: int):
-    """For mapInArrow: the strings by which a context's cell of window offsets is looked up.
+    """For mapInArrow: the hashes by which a context's cell of window offsets is looked up.
 
-    The offset of a window is its anchor's place in it; a cell holds ``width`` offsets. Its hull is the union
-    of its windows (kind 1, only where the context has them all), its core what all of them share (kind 0).
+    The offset of a window is its anchor's place in it; a cell holds ``width`` offsets. Its core is what all
+    windows of the cell share, its hull their union (null where the context lacks one of the windows).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, kind, digest, part = [], [], [], []
+            core, hull, part = [], [], []
             first, place, cell = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("first", "place", "cell"))
             for i, value in enumerate(batch.column(batch.schema.get_field_index("bytes")).to_pylist()):
                 prefix = prefix_hashes(np.frombuffer(value, dtype=np.uint8))
                 most = place[i] - first[i]
-                least = most - (len(value) - length)
                 low, high = cell[i] * width, (cell[i] + 1) * width - 1
-                bounds = [(most - low, max(most - low, most - high + length))] if width > 1 else []
-                if least <= low and high <= most:
-                    bounds.append((most - high, most - low + length))
-                start, end = np.array(bounds, dtype=np.int64).reshape(-1, 2).T
-                digest += mixed(range_hash(prefix, start, end)).view(np.int64).tolist()
-                hull = least <= low and high <= most
-                kind += [0] * (len(bounds) - hull) + [1] * hull
-                part += [b""] * (len(bounds) - hull) + [value[s:e] for s, e in bounds[len(bounds) - hull :]]
-                at += [i] * len(bounds)
-            if at:
-                taken = pa.Table.from_batches([batch]).take(pa.array(at)).combine_chunks()
-                columns = [c.combine_chunks() for c in taken.columns]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(kind, pa.int32()), pa.array(digest, pa.int64()), pa.array(part, pa.binary())], names=[*batch.schema.names, "kind", "d", "part"])
+                start, end = np.array([most - low, most - high]), np.array([most - high + length, most - low + length])
+                whole = most - (len(value) - length) <= low and high <= most
+                known = mixed(range_hash(prefix, start[: 1 + whole], end[: 1 + whole])).view(np.int64).tolist()
+                core.append(known[0])
+                hull.append(known[1] if whole else None)
+                part.append(value[start[1] : end[1]] if whole else None)
+            arrays = [pa.array(core, pa.int64()), pa.array(hull, pa.int64()), pa.array(part, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, "core", "hull", "part"])
 
     return run
 
 
-def hot_intervals(contexts: DataFrame, length: int = LENGTH, cells: tuple[int, ...] = CELLS) -> DataFrame:
-    """Intervals (row, start, end) of the repeated windows of anchors with many contexts, by search over extensions.
+def split_groups(contexts: DataFrame, scratch: list[str], length: int = LENGTH, group: int = GROUP, cells: tuple[int, ...] = CELLS) -> tuple[DataFrame, DataFrame]:
+    """Groups that one task can sort, (h, k) of at most ``group`` contexts, and intervals found on the way.
 
-    A cell whose hull another context has too is repeated as a whole, byte for byte; one whose core nobody
-    else has holds no repeated window; others are cut into narrower cells, down to single windows. Of the
-    contexts that share a hull one goes on for those that share only the core. A context on the edge of a
-    passage thus takes part with a few cells a level instead of all its windows, and contexts with the same
-    string meet only in partially aggregated counts.
+    The windows of an anchor with more contexts than that are cut into cells of offsets: windows can be equal
+    only within a cell and between contexts that share the cell's core, so a cell and a core make a group of
+    their own. In one that is still too large, contexts with the same hull, byte for byte, repeat each other
+    as a whole and one of them goes on for the rest; then cells get narrower, down to single windows, where
+    core and hull are one. Cells only split the work: every group that is left is sorted like any other.
     """
-
-    def cut(df: DataFrame, width: int, parent: int | None = None) -> DataFrame:
+    spark = contexts.sparkSession
+    intervals = spark.createDataFrame([], "row long, start int, end int")
+    groups = contexts.where(F.col("kinds") <= group).select("row", "h", F.lit(0).cast("long").alias("k"), "first", "place", "whole", "bytes")
+    state = contexts.where(F.col("kinds") > group).select("row", "h", "first", "place", "whole", "bytes", F.lit(0).alias("cell"))
+    parent = 0
+    for width in cells:
+        if state.isEmpty():
+            break
         most = F.col("place") - F.col("first")
         low = F.floor((most - (F.length("bytes") - length)) / width).cast("int")
         high = F.floor(most / width).cast("int")
         if parent:
             low, high = F.greatest(low, F.col("cell") * (parent // width)), F.least(high, (F.col("cell") + 1) * (parent // width) - 1)
-        return df.select("row", "h", "first", "place", "own", "bytes", F.explode(F.sequence(low, high)).alias("cell"))
-
-    own = ["row", "h", "first", "place", "own", "bytes", "cell"]
-    state = cut(contexts.withColumn("own", ~F.col("whole")), cells[0])
-    found = contexts.sparkSession.createDataFrame([], "row long, start int, end int")
-    if contexts.isEmpty():
-        return found
-    for level, width in enumerate(cells):
-        keys = state.mapInArrow(cell_keys(width, length), "row long, h long, first int, place int, own boolean, bytes binary, cell int, kind int, d long, part binary")
-        shared = keys.groupBy(*[F.col(c).alias(f"{c}_") for c in ("h", "cell", "kind", "d", "part")]).agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one")).where("n > 1")
+        cut = state.select("row", "h", "first", "place", "whole", "bytes", F.explode(F.sequence(low, high)).alias("cell"))
+        keys, path = saved(cut.mapInArrow(cell_keys(width, length), "row long, h long, first int, place int, whole boolean, bytes binary, cell int, core long, hull long, part binary"), "cells")
+        shared = keys.where("hull IS NOT NULL").groupBy(*[F.col(c).alias(f"{c}_") for c in ("h", "cell", "hull", "part")]).agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one")).where("n > 1")
         # the bytes are no key of the join, so that it shuffles anew and AQE can split a string that very many share
-        same = [F.col(c) == F.col(f"{c}_") for c in ("h", "cell", "kind", "d")] + [F.col("part").between(F.col("part_"), F.col("part_"))]
-        count = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("n")))
-        judged = keys.join(shared, same).groupBy(*own).agg(count(0).alias("cores"), count(1).alias("hulls"), F.max((F.col("kind") == 1) & (F.col("one") == F.struct("row", "first"))).alias("leads"))
-        judged, _ = saved(judged, "cells")
-        low = F.col("cell") * width
-        found = found.unionByName(judged.where("own AND hulls > 1").select("row", (F.col("place") - low - (width - 1)).alias("start"), (F.col("place") - low + length).alias("end")))
-        state = judged.where("hulls IS NULL OR leads AND cores > hulls").withColumn("own", F.col("own") & F.col("hulls").isNull())
-        if width == cells[-1] or state.isEmpty():
+        same = [F.col(c) == F.col(f"{c}_") for c in ("h", "cell", "hull")] + [F.col("part").between(F.col("part_"), F.col("part_"))]
+        judged = keys.join(shared, same, "left").select(*keys.columns, F.col("n").isNotNull().alias("again"), (F.struct("row", "first") == F.col("one")).alias("leads"))
+        judged, judged_path = saved(judged, "judged")
+        scratch += [path, judged_path]
+        bottom = F.col("place") - F.col("cell") * width
+        intervals = intervals.unionByName(judged.where("again AND NOT whole").select("row", (bottom - (width - 1)).alias("start"), (bottom + length).alias("end")))
+        if width == cells[-1]:
             break
-        state = cut(state, cells[level + 1], width)
-    return found
+        left = judged.where("NOT again OR leads").withColumn("whole", F.col("whole") | F.col("again"))
+        sizes = left.groupBy(*[F.col(c).alias(f"{c}_") for c in ("h", "cell", "core")]).agg(F.count("*").alias("n")).where("n > 1")
+        left = left.join(sizes, [F.col(c) == F.col(f"{c}_") for c in ("h", "cell", "core")]).select(*judged.columns, "n")
+        left, path = saved(left, "left")
+        scratch.append(path)
+        # of a context, the part with the cell's windows
+        skip = F.greatest(F.lit(0), most - ((F.col("cell") + 1) * width - 1))
+        size = F.least(F.length("bytes"), most - F.col("cell") * width + length) - skip
+        part = F.substring(F.col("bytes"), skip + 1, size)
+        ready = left.where(F.col("n") <= group)
+        groups = groups.unionByName(ready.select("row", "h", F.xxhash64(F.lit(width), "cell", "core").alias("k"), (F.col("first") + skip).alias("first"), "place", "whole", part.alias("bytes")))
+        state, parent = left.where(F.col("n") > group), width
+    return groups, intervals
+
+
+def find_contexts(docs: DataFrame, length: int, gram: int, bits: int, base: int) -> tuple[DataFrame, str, bool]:
+    """Contexts that are repeated (``whole``) or to be sorted (with their bytes), one of each kind; and whether all
+    contexts that count as copies are so by their SHA-256.
+
+    Repeated rows of a document ask once and are met once; their copies are in the counts.
+    """
+    spark = docs.sparkSession
+    rows, rows_path = saved(anchor_rows(docs, length, gram, bits, base), "anchors")
+    kinds = rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one"))
+    kinds = kinds.groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1").join(kinds.withColumnRenamed("n", "m").withColumnRenamed("h", "h_"), F.col("h") == F.col("h_"))
+    kinds, kinds_path = saved(kinds.where("m > 1 OR kinds > 1").select("h", "c", "kinds", "m", "one"), "kinds")
+    marked = rows.join(kinds.withColumnsRenamed({"h": "h_", "c": "c_"}), (F.col("h") == F.col("h_")) & (F.col("c") == F.col("c_")))
+    ask = F.struct("h", "c", "place", "first", "last", (F.col("m") > 1).alias("whole"), "kinds", ((F.col("kinds") > 1) & (F.struct("row", "first") == F.col("one"))).alias("sort"))
+    asked = marked.groupBy(F.col("row").alias("row_")).agg(F.collect_set(ask).alias("asked"))
+    met = docs.join(asked, F.col("row") == F.col("row_")).groupBy("row").agg(F.first("text").cast("binary").alias("data"), F.first("asked").alias("asked"))
 
+    def cut(a: Column) -> Column:
+        body = F.substring(F.col("data"), a["first"] + 1, a["last"] - a["first"] + length)
+        digest = F.when(a["whole"], F.substring(F.unhex(F.sha2(body, 256)), 1, 16))
+        return F.struct(*[a[c].alias(c) for c in ("h", "c", "place", "first", "last", "whole", "kinds", "sort")], digest.alias("digest"), F.when(a["sort"], body).alias("bytes"))
 
-def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, with_text: bool = False) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept (binary)]."""
-    kind = dict(df.dtypes)[doc_id]
+    met, path = saved(met.select("row", F.inline(F.transform("asked", cut))), "contexts")
+    sound = met.where("whole").groupBy("h", "c").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty()
+    remove(spark, rows_path, kinds_path)
+    return met, path, sound
+
+
+def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, bits: int = 64, with_text: bool = False) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept (binary)].
+
+    ``bits``: of the context hashes; where two contexts collide, all is done anew with other hashes of 64.
+    """
+    spark, kind = df.sparkSession, dict(df.dtypes)[doc_id]
     docs = df.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
     docs = docs.withColumn("row", F.xxhash64("doc", "text"))
-    rows, _ = saved(anchor_rows(docs, length, gram), "anchors")
-    kinds = rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one"))
-    kinds, _ = saved(kinds.groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1").join(kinds.withColumnRenamed("n", "m").withColumnRenamed("h", "h_"), F.col("h") == F.col("h_")).select("h", "c", "kinds", "m", "one"), "kinds")
-    marked = rows.join(kinds.withColumnsRenamed({"h": "h_", "c": "c_"}), (F.col("h") == F.col("h_")) & (F.col("c") == F.col("c_")))
-    marked = marked.select("row", "h", "place", "first", "last", (F.col("m") > 1).alias("whole"), "kinds", (F.struct("row", "first") == F.col("one")).alias("is_one"))
-    marked, _ = saved(marked.where("whole OR kinds > 1"), "marked")
-    whole = marked.where("whole").select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
-    asked = marked.where("kinds > 1 AND is_one").groupBy(F.col("row").alias("row_")).agg(F.collect_list(F.struct("h", "place", "first", "last", "whole", "kinds")).alias("asked"))
-    bytes_of = F.transform("asked", lambda a: F.struct(a["h"].alias("h"), a["place"].alias("place"), a["first"].alias("first"), a["whole"].alias("whole"), a["kinds"].alias("kinds"), F.substring(F.col("data"), a["first"] + 1, a["last"] - a["first"] + length).alias("bytes")))
-    contexts = docs.join(asked, F.col("row") == F.col("row_")).select("row", F.col("text").cast("binary").alias("data"), "asked").select("row", F.inline(bytes_of))
-    contexts, _ = saved(contexts, "contexts")
-
-    def sort_groups(key: list[str]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, n = [], 0
-            for group in grouped(batches, key):
-                if group.num_rows > 1:
-                    held.append(group)
-                    n += group.num_rows
-                if n >= 2_000:
-                    if (out := _intervals(held, length)) is not None:
-                        yield out
-                    held, n = [], 0
-            if held and (out := _intervals(held, length)) is not None:
-                yield out
-
-        return run
-
-    schema = "row long, start int, end int"
-    cool = contexts.where(F.col("kinds") <= hot).repartition("h").sortWithinPartitions("h").mapInArrow(sort_groups(["h"]), schema)
-
-    warm = hot_intervals(contexts.where(F.col("kinds") > hot), length)
-    spans = whole.unionByName(cool).unionByName(warm).groupBy(F.col("row").alias("row_")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    contexts, path, sound = find_contexts(docs, length, gram, bits, BASE2)
+    base = BASE2
+    while not sound:
+        remove(spark, path)
+        base += 0x2468ACE2
+        contexts, path, sound = find_contexts(docs, length, gram, 64, base)
+    whole = contexts.where("whole").select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+
+    def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for one in grouped(batches, ["h", "k"]):
+            if one.num_rows > 1:
+                held.append(one)
+                n += one.num_rows
+            if n >= group:
+                if (out := _intervals(held, length)) is not None:
+                    yield out
+                held, n = [], 0
+        if held and (out := _intervals(held, length)) is not None:
+            yield out
+
+    paths = [path]
+    groups, hulls = split_groups(contexts.where("sort"), paths, length, group)
+    sorted_ = groups.repartition("h", "k").sortWithinPartitions("h", "k").mapInArrow(sort_groups, "row long, start int, end int")
+    spans = whole.unionByName(sorted_).unionByName(hulls).groupBy(F.col("row").alias("row_")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    spans, _ = saved(spans, "spans")
+    remove(spark, *paths)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

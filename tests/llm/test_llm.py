@@ -231,21 +231,35 @@ def brute_repeats(texts, length=200):
     return out
 
 
-@pytest.mark.parametrize("hot", [512, 1])
-def test_substrings(spark, docs, empty, hot):
+@pytest.mark.parametrize(("group", "bits"), [(2048, 64), (2, 64), (2048, 3)])
+def test_substrings(spark, docs, empty, group, bits):
     r = random.Random(7)
     words = ["".join(r.choice("abcdeé") for _ in range(r.randint(2, 8))) for _ in range(300)]
     say = lambda n: " ".join(r.choice(words) for _ in range(n))
     common = [say(60), say(90)]
     texts = [say(r.randint(1, 60)) + r.choice(["", " " + r.choice(common)]) + " " + say(r.randint(0, 60)) for _ in range(60)] + [r["text"] for r in docs.collect()]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = substrings.remove_repeats(df, hot=hot).orderBy("doc_id").toPandas()
+    got = substrings.remove_repeats(df, group=group, bits=bits).orderBy("doc_id").toPandas()
     assert list(got.drop(columns="doc_id").itertuples(index=False, name=None)) == brute_repeats(texts)
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_substrings_repeated_rows(spark):
+    """Rows of one id and text, hundreds of times, beside a document with part of their text."""
+    r = random.Random(4)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    body, short = noise(900), noise(150)
+    rows = [(1, body)] * 500 + [(1, None)] * 3 + [(2, noise(60) + body[100:500] + noise(90)), (3, body[:700]), (None, short), (None, short), (4, noise(300))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute_repeats([t for _, t in rows])
+    for group in (2048, 1):
+        got = substrings.remove_repeats(df, group=group).toPandas()
+        seen = Counter(got.astype({"doc_id": object}).where(got.notna(), None).itertuples(index=False, name=None))
+        assert seen == Counter((i, *w) for (i, _), w in zip(rows, want, strict=True))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_substrings_hot_search(spark, seed):
+def test_substrings_split_groups(spark, seed):
     """Passages cut at random places, so that windows of one context repeat in different partners, or in none."""
     r = random.Random(seed)
     noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
@@ -261,8 +275,8 @@ def test_substrings_hot_search(spark, seed):
         texts.append(noise(r.choice([0, 5, 40])) + body + noise(r.choice([0, 3, 60])))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = brute_repeats(texts)
-    for hot in (0, 8):
-        got = substrings.remove_repeats(df, hot=hot).orderBy("doc_id").toPandas()
+    for group in (1, 8):
+        got = substrings.remove_repeats(df, group=group).orderBy("doc_id").toPandas()
         assert list(got.drop(columns="doc_id").itertuples(index=False, name=None)) == want
 
 
