@@ -34,7 +34,7 @@ from riskloom.llm.common import buckets_for, running, saved, spread
 
 CAPACITY, END_ID, MAX_PLAN = 2048, 0, 200_000
 #: Entries of a worker's cache of letter runs; about 200 bytes each. Chunks get a third of that.
-CACHE = 1_200_000
+CACHE = 600_000
 
 
 def tokenizer_path() -> str:
@@ -82,12 +82,17 @@ class WordIds:
             got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             ids = np.array(got.ids, dtype="<u4").tobytes()
             ends = np.cumsum(np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(part))).tolist()
-            assert len(ends) == len(part)
+            if len(ends) != len(part):  # a run is not one word to the tokenizer: each on its own
+                self.runs.update((run, self._encode(run)) for run in part)
+                continue
             start = 0
             for run, end in zip(part, ends, strict=True):
                 self.runs[run] = ids[4 * start : 4 * end]
                 start = end
 
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def of_chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of distinct chunks."""
         if len(self.chunks) > self.limit // 3:
@@ -98,10 +103,12 @@ class WordIds:
         new = [(i, chunks[i]) for i, x in enumerate(found) if x is None]
         split: list[tuple[int, list[str]]] = []
         for i, chunk in new:
-            if "<|" in chunk or not _LATIN.fullmatch(chunk):
-                found[i] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            low = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).lower()
+            # some capitals below U+0250 have their small letters above it
+            if "<|" in chunk or not (chunk.isascii() or _LATIN.fullmatch(chunk) and _LATIN.fullmatch(low)):
+                found[i] = self._encode(chunk)
             else:
-                split.append((i, _SPLIT.findall((chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).lower())))
+                split.append((i, _SPLIT.findall(low)))
         missing = {run for _, own in split for run in own}.difference(self.runs)
         self._learn_runs(list(missing))
         runs = self.runs
