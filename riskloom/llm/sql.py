@@ -12,8 +12,8 @@ b AS (
      FROM unnest(range(0, 8)) AS t(g), unnest([0, 5, 10, 15]) AS u(s)) AS payload_digest
   FROM h),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM b)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f
 """
 

@@ -3,15 +3,19 @@
 Writing goes through Spark's text writer (a record is text whose lines end in CR LF), so archives land in
 any file system that Spark reaches, optionally gzipped. Every capture gets a request record, a response
 or revisit record and a metadata record; request and metadata name the response in WARC-Concurrent-To.
-Reading splits whole archive files by Content-Length; files are kept small by ``records_per_file``.
+Reading splits whole archive files by Content-Length, so a file must fit in a worker: ``archive`` writes large
+payloads to files of fewer records, and none has more than ``FILE_BYTES`` of payloads or a single record's.
 
 Assembly gathers records by the identifier that they are concurrent to and emits one row per capture with
 nested request, response and metadata. Equal payloads are found by digest with a partially aggregated
 minimum and joined back, so a payload that a third of all pages share is no task of its own.
 
 Defined results: a null payload is an empty one; a null URL leaves WARC-Target-URI out; CR and LF in URLs are
-percent-encoded; repeated rows of one page are captures with the same id and assemble into one row; records
-that are concurrent to nothing known come out as rows without a response.
+percent-encoded. A capture's id follows from page id, URL and payload, so rows of one page id that differ are
+captures of their own; equal rows write records with equal ids, and each comes out as a row whose request and
+metadata are shared. All rows of the smallest page id with a payload are responses. A null page id is larger than
+any other, has no page-id field, and comes back as null. Records that are concurrent to nothing known
+come out as rows without a response. Other columns of the pages are left alone: only the three are read.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, uri string, digest string, payload binary, payload_bytes long, payload_digest string, fields map<string,string>"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Most bytes of payloads in an archive file, and most records.
+FILE_BYTES, FILE_RECORDS = 64 << 20, 3_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -48,9 +54,9 @@ def base32_sha1(payload: Column) -> Column:
     return let(F.sha1(payload), digits)
 
 
-def record_id(kind: str, key: Column) -> Column:
+def record_id(kind: str, *key: Column) -> Column:
     """A name-based UUID URN, the same in every run."""
-    h = F.md5(F.concat(F.lit(f"{kind}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+    h = F.md5(F.concat_ws("\n", F.lit(kind), *[F.coalesce(k.cast("string"), F.lit("\r")) for k in key]))
     cut = [F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)), F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12)]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -62,23 +68,30 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
     return F.concat(F.lit("WARC/1.1" + CRLF), *[F.coalesce(x, F.lit("")) for x in lines], length, F.lit(CRLF), block, F.lit(CRLF))
 
 
-def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0) -> DataFrame:
-    """The records to write, one text each in column ``value``: request, response or revisit, metadata."""
+def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, over_bytes: int = -1, most_bytes: int | None = None) -> DataFrame:
+    """The records to write, one text each in column ``value``: request, response or revisit, metadata.
+
+    ``over_bytes``, ``most_bytes``: only records of pages with payloads in these bounds; all count as firsts.
+    """
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     uri = F.replace(F.replace(F.col(f"`{url}`"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     own = pages.select(F.col(f"`{page_id}`").alias("id"), uri.alias("uri"), body.alias("body")).withColumn("digest", base32_sha1(F.col("body").cast("binary"))).withColumn("bytes", F.octet_length("body"))
-    first = own.where(F.col("bytes") >= least_bytes).groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes")).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", F.col("uri").isNull().alias("no_uri"), "uri")
+    first = own.where(F.col("bytes") >= least_bytes).groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes")).agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     marked = own.join(first, (F.col("digest") == F.col("_digest")) & (F.col("bytes") == F.col("_bytes")), "left")
-    revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    response = record_id("response", F.col("id"))
+    if most_bytes is not None:
+        marked = marked.where((F.col("bytes") > over_bytes) & (F.col("bytes") <= most_bytes))
+    revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first.id"))
+    key = [F.col("id"), F.col("uri"), F.col("digest"), F.col("bytes")]
+    response = record_id("response", *key)
     host = F.regexp_extract(F.coalesce("uri", F.lit("")), "^[a-z]+://([^/?#]*)", 1)
     path = F.regexp_extract(F.coalesce("uri", F.lit("")), "^[a-z]+://[^/?#]*(.*)$", 1)
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes").cast("string"), F.lit(CRLF + CRLF))
     ask = F.concat(F.lit("GET "), F.when(path == "", F.lit("/")).otherwise(path), F.lit(f" HTTP/1.1{CRLF}Host: "), host, F.lit(CRLF + CRLF))
-    about = F.concat(F.lit("page-id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(f"{CRLF}payload-bytes: "), F.col("bytes").cast("string"), F.lit(CRLF))
+    about = F.concat(F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit(CRLF)), F.lit("")), F.lit("payload-bytes: "), F.col("bytes").cast("string"), F.lit(CRLF))
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     common = [("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", F.col("uri"))]
-    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", record_id("request", F.col("id"))), *common, ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/http; msgtype=request"))], ask)
+    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", record_id("request", *key)), *common, ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/http; msgtype=request"))], ask)
     answer = _record(
         [
             ("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
@@ -86,18 +99,31 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payloa
             *common,
             ("WARC-Payload-Digest", digest),
             ("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-            ("WARC-Refers-To", F.when(revisit, record_id("response", F.col("first")))),
+            ("WARC-Refers-To", F.when(revisit, record_id("response", F.col("first.id"), F.col("first.uri"), *key[2:]))),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ],
         F.when(revisit, http).otherwise(F.concat(http, F.col("body"))),
     )
-    meta = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", record_id("metadata", F.col("id"))), *common, ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/warc-fields"))], about)
+    meta = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", record_id("metadata", *key)), *common, ("WARC-Concurrent-To", response), ("Content-Type", F.lit("application/warc-fields"))], about)
     return marked.select(F.explode(F.array(request, answer, meta)).alias("value"))
 
 
-def write(texts: DataFrame, path: str, records_per_file: int = 3_000, compression: str = "gzip") -> None:
+def write(texts: DataFrame, path: str, records_per_file: int = FILE_RECORDS, compression: str = "gzip") -> None:
     """Write records (``records``) as archive files below ``path``."""
-    texts.write.option("lineSep", CRLF).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
+    texts.write.mode("append").option("lineSep", CRLF).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
+
+
+def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, file_bytes: int = FILE_BYTES, file_records: int = FILE_RECORDS, compression: str = "gzip") -> None:
+    """Write the records of ``pages`` below ``path``, payloads up to ``file_bytes / file_records`` bytes first, then
+    those up to 16 times as many with a 16th of the records to a file, and so on up to the largest payload."""
+    largest = pages.agg(F.max(F.octet_length(F.col(f"`{payload}`").cast("string")))).first()[0] or 0
+    over, most, per = -1, file_bytes // file_records, file_records
+    while True:
+        last = per == 1 or largest <= most
+        write(records(pages, page_id, url, payload, least_bytes, over, None if over < 0 and last else largest if last else most), path, per, compression)
+        if last:
+            return
+        over, most, per = most, most * 16, max(1, per // 16)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -181,14 +207,14 @@ def payload_facts(captures: DataFrame) -> DataFrame:
     Bytes and digest of a response are those of the payload that was read; a revisit has those of the
     response that it refers to.
     """
-    page = F.col("metadata.fields")["page-id"].cast("long")
+    page = F.col("metadata.fields")["page-id"].try_cast("long")
     own = captures.where("response IS NOT NULL").select("capture_id", page.alias("page_id"), F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("_to"), F.col("response.payload_bytes").alias("_bytes"), F.col("response.payload_digest").alias("_digest"))
-    targets = own.where("record_type = 'response'").select(F.col("capture_id").alias("_id"), F.col("page_id").alias("refers_to"), F.col("_bytes").alias("_b"), F.col("_digest").alias("_d"))
+    targets = own.where("record_type = 'response'").groupBy(F.col("capture_id").alias("_id")).agg(F.min("page_id").alias("refers_to"), F.min("_bytes").alias("_b"), F.min("_digest").alias("_d"))
     joined = own.join(targets, F.col("_to") == F.col("_id"), "left")
     return joined.select("page_id", F.coalesce("_bytes", "_b").alias("payload_bytes"), F.coalesce("_digest", "_d").alias("payload_digest"), "record_type", "refers_to")
 
 
-def name_of(kind: str, key: object) -> str:
+def name_of(kind: str, *key: object) -> str:
     """What ``record_id`` makes, in Python."""
-    h = hashlib.md5(f"{kind}:{'null' if key is None else key}".encode()).hexdigest()
+    h = hashlib.md5("\n".join([kind, *["\r" if k is None else str(k) for k in key]]).encode()).hexdigest()
     return f"<urn:uuid:{uuid.UUID(h[:12] + '3' + h[13:16] + '8' + h[17:])}>"
