@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import embeddings, linededup, mixing, packing, pii, quality, secrets, simhash, substrings, warc
-from riskloom.llm.common import saved, scratch
+from riskloom.llm.common import remove, saved, scratch
 from riskloom.llm.sql import SQL
 
 
@@ -22,8 +22,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
-    warc.write(warc.records(_table(spark, sf_dir, "pages")), path)
-    return warc.payload_facts(saved(warc.assemble(warc.read(spark, path, payloads=False)), "captures")[0])
+    warc.archive(_table(spark, sf_dir, "pages"), path)
+    captures, _ = saved(warc.assemble(warc.read(spark, path, payloads=False)), "captures")
+    remove(spark, path)
+    return warc.payload_facts(captures)
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,8 +49,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), columns=[])
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.in_order(mixing.mix(_table(spark, sf_dir, "documents"), narrow=True))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.transform("positions", lambda c: c["position"]).alias("positions"))
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
