@@ -233,7 +233,10 @@ def redact(text: str, spans: list[Span]) -> str:
 
 
 def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text", redacted: bool = False) -> DataFrame:
-    """Per row: doc_id, base counts by kind, base_sha256, all spans, and the redacted text if asked for."""
+    """Per row: doc_id, base counts by kind, base_sha256, all spans, and the redacted text if asked for.
+
+    Only the two named columns are read; others are left out, whatever their names.
+    """
     model, limits = trained()
     kind = dict(df.dtypes)[doc_id]
     schema = f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", redacted string" * redacted

@@ -6,8 +6,7 @@ aggregates over it: neither touches a text again. Built-in expressions only, one
 
 Defined results: a null text counts as an empty one (0 words, so the word-count rule fails); measurements of
 documents without words are 0; repeated rows are judged alike, each on its own; other columns pass through
-(``ledger`` puts its results in one struct column, so names cannot clash with it unless the caller picks one
-that exists). Equality of word windows is equality of their 64-bit XXH64 hashes within one text.
+(``ledger`` puts its results in one struct column, which takes the place of one of the same name). Equality of word windows is equality of their 64-bit XXH64 hashes within one text.
 """
 
 from __future__ import annotations
@@ -95,10 +94,11 @@ PRODUCTION = "v2"
 
 
 def ledger(df: DataFrame, text: str = "text", out: str = "ledger", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Add the struct column ``out``: all measurements and ``mask``, the failure bits of all ``rules``."""
+    """Add the struct column ``out``: all measurements and ``mask``, the failure bits of all ``rules``.
+
+    It takes the place of a column of that name.
+    """
     taken = {c.lower() for c in df.columns}
-    if out.lower() in taken:
-        raise ValueError(f"column {out} exists")
     tmp = "_" + out
     while tmp.lower() in taken:
         tmp = "_" + tmp

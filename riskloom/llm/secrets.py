@@ -173,6 +173,9 @@ def select(scanned: DataFrame, limits: dict[int, float]) -> DataFrame:
 
 
 def find(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
-    """Scan once, set thresholds over the whole corpus, select."""
+    """Scan once, set thresholds over the whole corpus, select.
+
+    Only the two named columns are read; others are left out, whatever their names.
+    """
     scanned, _ = saved(scan(df, doc_id, text), "secrets")
     return select(scanned, thresholds(scanned, rate))

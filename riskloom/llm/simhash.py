@@ -164,4 +164,4 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """The rows whose doc_id is the smallest of its component, one of each; rows without an id stay."""
     marks = near_duplicates(df, doc_id, text, size, radius)
     gone = marks.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, df[doc_id] == F.col("_gone"), "left_anti")
+    return df.join(gone, df[doc_id] == gone["_gone"], "left_anti")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -65,8 +66,37 @@ def test_line_dedup(docs, empty):
         got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup_lines(docs, batches=batches, fanout=2).collect()}
         assert got == brute
     assert linededup.dedup_lines(empty).count() == 0
-    with pytest.raises(ValueError):
-        linededup.dedup_lines(docs.withColumn("n_lines", F.lit(1)))
+    clash = docs.withColumns({c: F.lit("x") for c in ("n_lines", "N_Dropped", "drops", "row", "d", "h1", "first_doc", "id")})
+    got = linededup.dedup_lines(clash, batches=2).collect()
+    assert {r["doc_id"]: r["kept_text"] for r in got} == brute and all(r["drops"] == r["row"] == r["h1"] == "x" and r["n_lines"] >= 1 for r in got)
+
+
+def test_blanks_of_lines_and_words(spark):
+    """Only six characters are blank, wherever they stand; long runs of blanks take no longer than other texts."""
+    texts = ["x y \u0085", "hello world abc \u2028", "hello world abc", "hello world abc\x1f", "\u00a0a\u00a0", " ", "", None, "\x0b\x0ca b\r\t", "  lead", "trail  ", "a" + " " * 1_000_000 + "b\u2028", "\t" * 1_000_000]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)] * 2, "doc_id long, text string, source string").coalesce(1)
+    began = time.time()
+    sizes = {r["doc_id"]: r["size"] for r in mixing.mix(df, narrow=True).select("doc_id", "size").collect()}
+    assert sizes == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r["n_dropped"] for r in linededup.dedup_lines(df).select("doc_id", "n_dropped").collect()}
+    assert all(n == 0 for n in got.values()) and time.time() - began < 60
+
+
+def test_line_runs_are_merged(spark):
+    """Six batches with a fanout of four: level 0 is merged once, and keys keep their first document."""
+    rows = [(b * 10 + i, f"only line {b} {i}\nshared by batch {b}\nshared by everyone") for b in range(6) for i in range(3)]
+    lines = spark.createDataFrame(rows, "doc_id long, text string")
+    store = linededup.LineRuns(spark, n_buckets=3)
+    for b in range(6):
+        hs = lines.where(F.floor(F.col("doc_id") / 10) == b).select("doc_id", F.explode(linededup.line_hashes(F.col("text"))).alias("h"))
+        more, _ = store.add(hs.groupBy("h.h1", "h.h2").agg(F.min("doc_id").alias("first_doc"), (F.count("*") > 1).alias("more")))
+        assert sorted(r["first_doc"] for r in more.collect()) == sorted([0, 10 * b])
+    assert [len(x) for x in store.levels] == [2, 1] and store.merges == 1
+    keys = store.runs[0].unionByName(store.runs[1]).unionByName(store.runs[2])
+    assert keys.count() == keys.select("h1", "h2").distinct().count() == 6 * 4 + 1
+    store.close()
+    got = linededup.dedup_lines(lines).toPandas().set_index("doc_id")
+    assert got.n_dropped.tolist() == [0, 2, 2] + [1, 2, 2] * 5 and linededup.batches_for(18) == 6
 
 
 def test_mixing(spark, docs, empty):
@@ -74,16 +104,44 @@ def test_mixing(spark, docs, empty):
     per = out.groupby("source", dropna=False).agg(t=("taken", "sum"), g=("target", "first"))
     assert ((per.t - per.g).abs() < 1).all() and (out.taken <= 2 * out["size"]).all()
     assert mixing.mix(docs).toPandas().sort_values("doc_id").taken.tolist() == out.sort_values("doc_id").taken.tolist()
-    narrow = mixing.mix(docs, columns=[]).toPandas()
+    narrow = mixing.mix(docs, narrow=True).toPandas()
     shown = ["doc_id", "size", "source_size", "target", "taken"]
     assert set(narrow[shown].astype(str).itertuples(index=False, name=None)) == set(out[shown].astype(str).itertuples(index=False, name=None))
     con = duckdb.connect()
     con.register("documents", docs.toPandas())
     want = con.sql(f"SELECT doc_id, target FROM ({OP6_TARGETS})").df().set_index("doc_id").target
     assert np.allclose(out.set_index("doc_id").target.sort_index(), want.sort_index())
-    order = mixing.curriculum(mixing.mix(docs), docs.columns)
+    clash = docs.withColumns({c: F.lit("x") for c in ("size", "Taken", "_bucket", "row", "src", "id", "key", "from", "rest")})
+    order = mixing.curriculum(clash)
+    assert order.columns == clash.columns and order.where("size = 'x' AND key = 'x'").count() == order.count()
     words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in order.collect())
-    assert words == out.taken.sum() and mixing.mix(empty).count() == 0
+    assert words == out.taken.sum() and mixing.mix(empty).count() == mixing.curriculum(empty).count() == 0
+    replaced = mixing.mix(clash).toPandas()
+    assert sorted(replaced.taken) == sorted(out.taken) and (replaced.key == "x").all()
+
+
+def test_mixing_brute_force(spark):
+    """Positions against numerical integration of the schedules, taken words against walking the streams."""
+    r = random.Random(2)
+    rows = [(i, " ".join(["w"] * r.randint(0, 30)), r.choice(["a", "a", "a", "b", "c", None])) for i in range(400)]
+    rows += [rows[5]] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for horizon in (1.0, 0.4):
+        out = mixing.mix(df, narrow=True, horizon=horizon).collect()
+        grid = np.linspace(0, 1, 200_001)
+        for k, source in enumerate(["a", "b", "c", None]):
+            own = [x for x in out if x["source"] == source]
+            weight = 1 + (mixing.TILTS[k % 3] - 1) * grid
+            used = np.concatenate([[0], np.cumsum((weight[1:] + weight[:-1]) / 2)])
+            used = used / used[-1] * own[0]["target"]
+            until = np.interp(horizon, grid, used)
+            copies = sorted((c["position"], c["words"], x["size"]) for x in own for c in x["positions"])
+            starts = np.cumsum([0, *[w for _, w, _ in copies]])
+            assert abs(starts[-1] - until) < 1 and np.allclose([p for p, _, _ in copies], np.interp(starts[:-1], used, grid), atol=1e-4)
+            assert all(w == n for _, w, n in copies[:-1]) and all(x["taken"] == sum(c["words"] for c in x["positions"]) <= 2 * x["size"] for x in own)
+            assert own[0]["source_size"] == sum(x["size"] for x in own)
+    seen = [r["positions"][0]["position"] if r["positions"] else -1 for r in mixing.in_order(mixing.mix(df, narrow=True)).collect()]
+    assert seen == sorted(seen)
 
 
 def test_packing(docs, empty):
@@ -146,9 +204,9 @@ def test_simhash(spark, docs, empty):
 def test_warc(spark, tmp_path):
     rows = [(3, "http://a.b/c?d", "<p>é</p>\r\n\r\nWARC/1.1"), (1, None, None), (2, "http://x/\ny", ""), (5, "http://h", "<p>é</p>\r\n\r\nWARC/1.1"), (9, "http://h", "z" * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for codec in ("none", "gzip"):
+    for codec, file_bytes in (("none", 64 << 20), ("gzip", 60)):
         path = f"file://{tmp_path}/{codec}"
-        warc.write(warc.records(pages), path, 4, codec)
+        warc.archive(pages, path, file_bytes=file_bytes, file_records=4, compression=codec)
         captures = warc.assemble(warc.read(spark, path))
         got = {r["page_id"]: tuple(r)[1:] for r in warc.payload_facts(captures).collect()}
         import base64
@@ -160,7 +218,21 @@ def test_warc(spark, tmp_path):
             assert got[i] == want
         assert all(r["n_records"] == 3 and r["request"] and r["metadata"] for r in captures.collect())
         payload = {r["response"]["record_id"]: r["response"]["payload"] for r in captures.collect()}
-        assert bytes(payload[warc.name_of("response", 3)]) == rows[0][2].encode()
+        digest = base64.b32encode(hashlib.sha1(rows[0][2].encode()).digest()).decode()
+        assert bytes(payload[warc.name_of("response", 3, "http://a.b/c?d", digest, len(rows[0][2].encode()))]) == rows[0][2].encode()
+
+
+def test_warc_nulls_and_repeated_rows(spark, tmp_path):
+    rows = [(1, "u", "same"), (1, "u", "same"), (2, "v", "same"), (2, "v", "same"), (None, "w", "same"), (None, None, None), (1, "u", "else"), (1, "u2", "same"), (7, "x", "else")]
+    pages = spark.createDataFrame([(*r, "response") for r in rows], "page_id long, url string, html string, type string")
+    warc.archive(pages, f"file://{tmp_path}/a")
+    got = Counter(tuple(r) for r in warc.payload_facts(warc.assemble(warc.read(spark, f"file://{tmp_path}/a", payloads=False))).collect())
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas().astype({"page_id": "Int64"}))
+    assert got == Counter(con.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({queries.SQL['op2_warc']})").fetchall())
+    nothing = spark.createDataFrame([], pages.schema)
+    warc.archive(nothing, f"file://{tmp_path}/none")
+    assert warc.payload_facts(warc.assemble(warc.read(spark, f"file://{tmp_path}/none"))).count() == 0
 
 
 def test_pii(docs, empty):
