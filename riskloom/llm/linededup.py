@@ -144,7 +144,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_c
     drops = found.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2"))).where(~F.col("d").eqNullSafe(F.col("first_doc")))
     drops, _ = saved(drops.groupBy("d").agg(F.array_sort(F.collect_set("pos")).alias("drops")), "drops")
     remove(spark, lines_path, *paths)
-    joined = df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("row")).join(drops, F.col(f"row.`{doc_id}`") == F.col("d"), "left")
+    # a merge join at every size: what is dropped grows with the corpus, and its files are far smaller than its rows
+    joined = df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("row")).join(drops.hint("merge"), F.col(f"row.`{doc_id}`") == F.col("d"), "left")
 
     def kept(all_lines: Column) -> Column:
         ends = F.concat(F.array(F.lit(-1)), F.coalesce(F.col("drops"), F.array().cast("array<int>")), F.array(F.size(all_lines)))
