@@ -54,13 +54,13 @@ def _forget(spark: SparkSession, path: str) -> None:
         remove(spark, path)
 
 
-def saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """Cut the lineage: write to the shared folder and read again, with the path to remove later.
 
     Unlike cached or locally checkpointed blocks these files outlive any executor.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -138,8 +138,9 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_c
         repeated = more if repeated is None else repeated.unionByName(more)
         paths.append(path)
     store.close()
-    # a key's first document is the same in every batch that lists it
-    repeated = repeated.groupBy(F.col("h1").alias("r1"), F.col("h2").alias("r2")).agg(F.first("first_doc").alias("first_doc"))
+    # a key's first document is the same in every batch that lists it; written, so that the join can split hot keys
+    repeated, path = saved(repeated.groupBy(F.col("h1").alias("r1"), F.col("h2").alias("r2")).agg(F.first("first_doc").alias("first_doc")), "repeated")
+    paths.append(path)
     found = lines.select("d", F.posexplode("hs").alias("pos", "h")).where("h IS NOT NULL").select("d", "pos", "h.h1", "h.h2")
     drops = found.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2"))).where(~F.col("d").eqNullSafe(F.col("first_doc")))
     drops, _ = saved(drops.groupBy("d").agg(F.array_sort(F.collect_set("pos")).alias("drops")), "drops")

@@ -100,10 +100,10 @@ def mix(df: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str
     return out.select(*[v.alias(c) for c, v in own.items() if c.lower() not in RESULTS], *RESULTS)
 
 
-def in_order(mixed: DataFrame) -> DataFrame:
-    """The documents range-sorted by the time of their first copy; those not taken come first."""
-    first = F.get("positions", F.lit(0))["position"]
-    return mixed.repartitionByRange(first).sortWithinPartitions(first)
+def in_order(mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The documents range-sorted by the time of their first copy; those not taken come first, by id."""
+    order = [F.get("positions", F.lit(0))["position"], F.col(f"`{doc_id}`")]
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def first_words(text: Column, n: Column) -> Column:

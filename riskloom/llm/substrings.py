@@ -336,6 +336,9 @@ def split_groups(contexts: DataFrame, scratch: list[str], length: int = LENGTH,
             break
         left = judged.where("NOT again OR leads").withColumn("whole", F.col("whole") | F.col("again"))
         sizes = left.groupBy(*[F.col(c).alias(f"{c}_") for c in ("h", "cell", "core")]).agg(F.count("*").alias("n")).where("n > 1")
+        # written, so that the join shuffles anew and can split a core that very many share
+        sizes, path = saved(sizes, "sizes")
+        scratch.append(path)
         left = left.join(sizes, [F.col(c) == F.col(f"{c}_") for c in ("h", "cell", "core")]).select(*judged.columns, "n")
         left, path = saved(left, "left")
         scratch.append(path)
@@ -368,9 +371,10 @@ def find_contexts(docs: DataFrame, length: int, gram: int, bits: int, base: int)
     def cut(a: Column) -> Column:
         body = F.substring(F.col("data"), a["first"] + 1, a["last"] - a["first"] + length)
         digest = F.when(a["whole"], F.substring(F.unhex(F.sha2(body, 256)), 1, 16))
-        return F.struct(*[a[c].alias(c) for c in ("h", "c", "place", "first", "last", "whole", "kinds", "sort")], digest.alias("digest"), F.when(a["sort"], body).alias("bytes"))
+        sorted_only = [F.when(a["sort"], a[c]).alias(c) for c in ("place", "kinds")]
+        return F.struct(*[a[c].alias(c) for c in ("h", "c", "first", "last", "whole", "sort")], *sorted_only, digest.alias("digest"), F.when(a["sort"], body).alias("bytes"))
 
-    met, path = saved(met.select("row", F.inline(F.transform("asked", cut))), "contexts")
+    met, path = saved(met.select("row", F.inline(F.transform("asked", cut))), "contexts", "zstd")
     sound = met.where("whole").groupBy("h", "c").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty()
     remove(spark, rows_path, kinds_path)
     return met, path, sound
