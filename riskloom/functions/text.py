@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import unicodedata
 import zlib
 from collections.abc import Callable
@@ -21,22 +22,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """Letters whose compatibility decomposition is ASCII: one-to-one as translation, the rest as replacements."""
-    one_from, one_to, many = "", "", []
-    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07), *range(0xFF41, 0xFF5B)]:
-        c = chr(cp).lower()
-        if len(c) != 1 or c in one_from:
+@functools.cache
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """What is left of a character's compatibility decomposition as a-z or blank: one-to-one as a translation, the
+    rest as replacements. All code points, by rule."""
+    one, many = {}, {}
+    for cp in range(0x80, 0x110000):
+        if 0xD800 <= cp < 0xE000 or not unicodedata.decomposition(c := chr(cp)) or c != c.lower():
             continue
-        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if "a" <= x <= "z")
-        if len(plain) == 1:
-            one_from, one_to = one_from + c, one_to + plain
-        elif plain and c not in dict(many):
-            many.append((c, plain))
-    return one_from, one_to, many
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if "a" <= x <= "z" or x in _BLANK)
+        if plain:
+            (one if len(plain) == 1 else many)[c] = plain
+    return "".join(one), "".join(one.values()), many
 
 
-_FROM, _TO, _MANY = _fold_tables()
+_BLANK = " \t\n\r\f\v\x1c\x1d\x1e\x1f"
 
 
 def strip(c: Column) -> Column:
@@ -50,10 +50,12 @@ def blank(c: Column) -> Column:
 
 def clean_names(c: Column) -> Column:
     """STR1: lower, accents folded to ASCII, only a-z and white space kept; no trim; null or blank gives ""."""
-    out = F.lower(c)
-    for a, b in _MANY:
+    one_from, one_to, many = _fold_tables()
+    low, out = F.lower(c), F.lower(c)
+    for a, b in many.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.when(blank(c), "").otherwise(F.regexp_replace(F.translate(out, _FROM, _TO), r"[^a-z\s]", ""))
+    out = F.when(low.rlike("[" + "".join(many) + "]"), out).otherwise(low)
+    return F.when(blank(c), "").otherwise(F.regexp_replace(F.translate(out, one_from, one_to), r"[^a-z\s\x1c-\x1f]", ""))
 
 
 def clean_city(c: Column) -> Column:

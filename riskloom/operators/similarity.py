@@ -8,16 +8,23 @@ Jaro-Winkler, token sets) run once per distinct candidate pair, in one Arrow UDF
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions import text
+from riskloom.functions import numeric, text
+from riskloom.operators import kernels
+from riskloom.sources.scratch import materialise
 
 NUM_PERM = 128
+#: Pairs of users that two classes make at most to be compared row by row.
+SINGLY = 64
 #: View thresholds, with bands and rows that minimise the mean of both error areas at 128 permutations.
 VIEWS = {"raw": (0.65, (2, 3, 4)), "sep": (0.60, (2, 3, 4)), "shape": (0.85, (3,)), "deleet": (0.65, (2, 3, 4))}
 TRANSFORMS = {"raw": text.norm, "sep": text.sep_norm, "shape": text.shape, "deleet": text.deleet_norm}
@@ -35,10 +42,26 @@ def lsh_parameters(threshold: float, num_perm: int = NUM_PERM) -> tuple[int, int
     return out
 
 
-def signature(shingles: Column, num_perm: int = NUM_PERM) -> Column:
-    """SIM1: least salted hash of the shingles per permutation; no shingles: all-max, equal to one another."""
-    top = F.lit((1 << 63) - 1)
-    return F.transform(F.sequence(F.lit(0), F.lit(num_perm - 1)), lambda i: F.coalesce(F.array_min(F.transform(shingles, lambda s: F.xxhash64(i, s))), top))
+def with_signature(df: DataFrame, shingles: Column, num_perm: int = NUM_PERM, out: str = "signature") -> DataFrame:
+    """SIM1: add the least permuted hash of the shingles per permutation; no shingles: all-max, equal to one another."""
+    rng = np.random.default_rng(1)
+    odd = rng.integers(0, 1 << 63, num_perm, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    more = rng.integers(0, 1 << 63, num_perm, dtype=np.uint64) * np.uint64(2)
+
+    def least(hashes: list[int]) -> np.ndarray:
+        if not hashes:
+            return np.full(num_perm, (1 << 63) - 1)
+        return ((np.array(hashes, dtype=np.int64).view(np.uint64)[:, None] * odd + more).min(axis=0) >> np.uint64(1)).view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [least(h) for h in batch.column(batch.num_columns - 1).to_pylist()]
+            flat = pa.array(np.concatenate(found) if found else np.empty(0, dtype=np.int64))
+            signs = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * num_perm), flat)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], signs], names=[*batch.schema.names[:-1], out])
+
+    hashed = df.select("*", F.transform(shingles, lambda s: F.xxhash64(s)).alias(out))
+    return hashed.mapInArrow(run, hashed.schema)
 
 
 def jaccard_estimate(a: Column, b: Column) -> Column:
@@ -53,7 +76,7 @@ def exact_jaccard(a: Column, b: Column) -> Column:
 
 
 def usernames(df: DataFrame, column: str = "email_username") -> DataFrame:
-    """SET7: distinct normalised usernames."""
+    """SET7: distinct normalised usernames; the empty one stays, but has no candidates."""
     return df.select(text.norm(F.col(column)).alias("user")).distinct()
 
 
@@ -61,7 +84,7 @@ def view_index(users: DataFrame, view: str, num_perm: int = NUM_PERM, threshold:
     """SIM2, SIM3: (user, view, band, hash)."""
     default, sizes = VIEWS[view]
     bands, rows = lsh_parameters(threshold or default, num_perm)
-    signed = users.withColumn("_s", signature(text.shingles(TRANSFORMS[view](F.col("user")), sizes), num_perm))
+    signed = with_signature(users, text.shingles(TRANSFORMS[view](F.col("user")), sizes), num_perm, "_s")
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("_s", b * rows + 1, rows)))
     return signed.select("user", F.lit(view).alias("view"), F.posexplode(keys).alias("band", "hash"))
 
@@ -77,29 +100,88 @@ def exact_candidates(users: DataFrame, view: str = "raw", threshold: float | Non
     return shared.withColumn("jaccard", j).where(F.col("jaccard") >= (threshold or default)).select("user_1", "user_2", "jaccard")
 
 
-def candidates(users: DataFrame, views: tuple[str, ...] = tuple(VIEWS), num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> DataFrame:
-    """JN13, SIM4, SET4: (user_1, user_2, jaccard_raw_view), every pair that shares a band bucket in one of the views.
+def candidate_classes(users: DataFrame, view: str, num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> tuple[DataFrame, DataFrame]:
+    """JN13: a view's classes as (rep, user), users with one string in the view, and the pairs (rep_1, rep_2) of
+    classes that share a band bucket, each class with itself among them.
 
-    Users with one string in a view are a class there: classes meet in buckets, and their members are paired
-    afterwards. Buckets with over ``max_bucket`` classes are cut into tiles, and all pairs of tiles are joined.
+    That is every candidate pair of the view, without listing them. Buckets with over ``max_bucket`` classes are cut
+    into tiles, and all pairs of tiles are joined. Empty usernames have no candidates.
     """
+    named = users.where("user <> ''").select("user", TRANSFORMS[view](F.col("user")).alias("_v"))
+    tops = materialise(named.groupBy("_v").agg(F.min("user").alias("rep")), "classes")
+    met = _meetings(materialise(view_index(tops.select(F.col("rep").alias("user")), view, num_perm), "bands"), max_bucket)
+    met = met.unionByName(tops.select(F.col("rep").alias("rep_1"), F.col("rep").alias("rep_2")))
+    return named.join(tops, "_v").select("rep", "user"), met
+
+
+def candidates(users: DataFrame, views: tuple[str, ...] = tuple(VIEWS), num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> DataFrame:
+    """SIM4, SET4: (user_1, user_2, jaccard_raw_view), every pair that shares a band bucket in one of the views."""
     pairs = None
     for view in views:
-        named = users.where("user IS NOT NULL").select("user", TRANSFORMS[view](F.col("user")).alias("_v"))
-        tops = named.groupBy("_v").agg(F.min("user").alias("rep"))
-        met = _meetings(view_index(tops.select(F.col("rep").alias("user")), view, num_perm), max_bucket)
-        met = met.unionByName(tops.select(F.col("rep").alias("rep_1"), F.col("rep").alias("rep_2")))
-        members = named.join(tops, "_v").select("rep", "user")
+        members, met = candidate_classes(users, view, num_perm, max_bucket)
         one = members.select(F.col("rep").alias("rep_1"), F.col("user").alias("_x"))
         two = members.select(F.col("rep").alias("rep_2"), F.col("user").alias("_y"))
         part = met.join(one, "rep_1").join(two, "rep_2").where("rep_1 <> rep_2 OR _x < _y").select(F.least("_x", "_y").alias("user_1"), F.greatest("_x", "_y").alias("user_2"))
         pairs = part if pairs is None else pairs.unionByName(part)
-    signed = users.select("user", signature(text.shingles(F.col("user"), VIEWS["raw"][1]), num_perm).alias("_s"))
+    signed = raw_signatures(users.select("user"), num_perm).withColumnRenamed("signature", "_s")
     left = signed.select(F.col("user").alias("user_1"), F.col("_s").alias("_a"))
     right = signed.select(F.col("user").alias("user_2"), F.col("_s").alias("_c"))
     return pairs.distinct().join(left, "user_1").join(right, "user_2").select("user_1", "user_2", jaccard_estimate(F.col("_a"), F.col("_c")).alias("jaccard_raw_view"))
 
 
+def raw_signatures(users: DataFrame, num_perm: int = NUM_PERM) -> DataFrame:
+    return with_signature(users, text.shingles(F.col("user"), VIEWS["raw"][1]), num_perm)
+
+
+def similar_pairs(users: DataFrame, min_sim: float = 0.70, views: tuple[str, ...] = tuple(VIEWS), num_perm: int = NUM_PERM, max_bucket: int = 1_000, tile: int = 512) -> DataFrame:
+    """SIM3-SIM6, FLT1: (user_1, user_2, jaccard_raw_view, similarity), every candidate of a view at ``min_sim`` or more.
+
+    Large classes are compared in tiles of users: what moves are users with their views, and pairs come out only
+    where they are similar. Pairs of small classes go row by row, once for all views. A pair counts once.
+    """
+    strings = {"norm": text.norm, "sep": text.sep_norm, "deleet": text.deleet_norm, "letters": text.letters_only, "tokens": text.tokens_for_ratio}
+    facts = materialise(raw_signatures(users.where("user <> ''").select("user", *[f(F.col("user")).alias(k) for k, f in strings.items()]), num_perm), "users")
+
+    def run(table: pa.Table) -> pa.Table:
+        side, users = table.column("side").to_numpy(), table.column("user").to_pylist()
+        x = np.flatnonzero(side == 0)
+        i, j = (x[k] for k in np.triu_indices(len(x), 1)) if (side == 0).all() and table.column("whole")[0].as_py() else (k.ravel() for k in np.meshgrid(x, np.flatnonzero(side == 1), indexing="ij"))
+        signs = np.stack([np.asarray(s) for s in table.column("signature").to_pylist()])
+        score = kernels.combined({k: table.column(k).to_pylist() for k in strings}, i, j)
+        near = score >= min_sim
+        i, j, score = i[near], j[near], score[near]
+        jaccard = [(signs[a] == signs[b]).mean() for a, b in zip(i, j, strict=True)]
+        pairs = [sorted((users[a], users[b])) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+        return pa.table({"user_1": pa.array([p[0] for p in pairs], pa.string()), "user_2": pa.array([p[1] for p in pairs], pa.string()), "jaccard_raw_view": pa.array(jaccard, pa.float64()), "similarity": pa.array(score, pa.float64())})
+
+    rows, blocks, users = None, None, facts.select("user")
+    for view in views:
+        members, met = candidate_classes(users, view, num_perm, max_bucket)
+        members, met = materialise(members, "members"), materialise(met, "classes")
+        sizes = members.groupBy("rep").agg(F.count("*").alias("n"))
+        met = met.join(sizes.withColumnsRenamed({"rep": "rep_1", "n": "n_1"}), "rep_1").join(sizes.withColumnsRenamed({"rep": "rep_2", "n": "n_2"}), "rep_2")
+        one, two = (members.withColumnsRenamed({"rep": f"rep_{k}", "user": f"_{k}"}) for k in (1, 2))
+        few = F.col("n_1") * F.col("n_2") <= SINGLY
+        part = met.where(few).join(one, "rep_1").join(two, "rep_2").where("rep_1 <> rep_2 OR _1 < _2").select(F.least("_1", "_2").alias("user_1"), F.greatest("_1", "_2").alias("user_2"))
+        rows = part if rows is None else rows.unionByName(part)
+        tiles = lambda n: F.ceil(F.col(n) / tile).cast("int")
+        same = F.col("rep_1") == F.col("rep_2")
+        cut = met.where(~few).select("rep_1", "rep_2", "n_2", F.explode(F.sequence(F.lit(0), tiles("n_1") - 1)).alias("a"))
+        cut = cut.select("rep_1", "rep_2", "a", F.explode(F.sequence(F.when(same, F.col("a")).otherwise(0), tiles("n_2") - 1)).alias("b")).withColumn("whole", same & (F.col("a") == F.col("b")))
+        dealt = members.join(sizes, "rep").select("rep", F.pmod(F.xxhash64("user"), tiles("n")).cast("int").alias("tile"), "user")
+        sides = [(cut, "rep_1", "a", 0), (cut.where("NOT whole"), "rep_2", "b", 1)]
+        for which, rep, place, side in sides:
+            part = which.join(dealt.withColumnsRenamed({"rep": rep, "tile": place}), [rep, place]).select(F.lit(view).alias("view"), "rep_1", "rep_2", "a", "b", "whole", F.lit(side).alias("side"), "user")
+            blocks = part if blocks is None else blocks.unionByName(part)
+    schema = "user_1 string, user_2 string, jaccard_raw_view double, similarity double"
+    many = blocks.join(facts, "user").groupBy("view", "rep_1", "rep_2", "a", "b").applyInArrow(run, schema)
+    signed = facts.select("user", "signature")
+    found = refine(rows.distinct(), min_sim)
+    found = found.join(signed.select(F.col("user").alias("user_1"), F.col("signature").alias("_a")), "user_1").join(signed.select(F.col("user").alias("user_2"), F.col("signature").alias("_c")), "user_2")
+    found = found.select("user_1", "user_2", jaccard_estimate(F.col("_a"), F.col("_c")).alias("jaccard_raw_view"), "similarity")
+    return found.unionByName(many).groupBy("user_1", "user_2").agg(F.first("jaccard_raw_view").alias("jaccard_raw_view"), F.first("similarity").alias("similarity"))
+
+
 def _meetings(index: DataFrame, tile: int) -> DataFrame:
     """(rep_1, rep_2): distinct pairs of one view's ``index`` that share a bucket."""
     key = ["band", "hash"]
@@ -111,94 +193,11 @@ def _meetings(index: DataFrame, tile: int) -> DataFrame:
     return a.join(b, [*key, "_i", "_j"]).where("rep_1 < rep_2").select("rep_1", "rep_2").distinct()
 
 
-def damerau(a: str, b: str) -> int:
-    """Unrestricted Damerau-Levenshtein distance."""
-    last: dict[str, int] = {}
-    big = len(a) + len(b)
-    d = [[big] * (len(b) + 2) for _ in range(len(a) + 2)]
-    for i in range(len(a) + 1):
-        d[i + 1][1] = i
-    for j in range(len(b) + 1):
-        d[1][j + 1] = j
-    for i, x in enumerate(a, 1):
-        at = 0
-        for j, y in enumerate(b, 1):
-            k, m = last.get(y, 0), at
-            if x == y:
-                at = j
-            d[i + 1][j + 1] = min(d[i][j] + (x != y), d[i + 1][j] + 1, d[i][j + 1] + 1, d[k][m] + (i - k - 1) + 1 + (j - m - 1))
-        last[x] = i
-    return d[len(a) + 1][len(b) + 1]
-
-
-def damerau_similarity(a: str, b: str) -> float:
-    most = max(len(a), len(b))
-    return 1 - damerau(a, b) / most if most else 1.0
-
-
-def jaro_winkler(a: str, b: str) -> float:
-    """Prefix weight 0.1 up to four characters, given above a Jaro of 0.7."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(0, max(len(a), len(b)) // 2 - 1)
-    used, hits = [False] * len(b), []
-    for i, x in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == x:
-                used[j] = True
-                hits.append(x)
-                break
-    if not hits:
-        return 0.0
-    other = [y for j, y in enumerate(b) if used[j]]
-    swaps = sum(x != y for x, y in zip(hits, other, strict=True)) / 2
-    m = len(hits)
-    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
-    if jaro <= 0.7:
-        return jaro
-    prefix = 0
-    for x, y in zip(a[:4], b[:4], strict=False):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + prefix * 0.1 * (1 - jaro)
-
-
-def _indel(a: str, b: str) -> float:
-    """2 x longest common subsequence over both lengths."""
-    if not a and not b:
-        return 1.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return 2 * row[-1] / (len(a) + len(b))
-
-
-def token_set_ratio(a: str, b: str) -> float:
-    """0 to 1: the best of the three pairings of common and remaining sorted tokens; 0 if either has none."""
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both = x & y
-    if both and (not x - y or not y - x):
-        return 1.0
-    common = " ".join(sorted(both))
-    one, two = (" ".join([common, *sorted(rest)]).strip() for rest in (x - y, y - x))
-    pairs = [(one, two)] + [(common, one), (common, two)] * bool(both)
-    return max(_indel(*p) for p in pairs)
-
-
 @F.pandas_udf(T.DoubleType())
 def _combined(u: pd.Series, v: pd.Series, su: pd.Series, sv: pd.Series, du: pd.Series, dv: pd.Series, lu: pd.Series, lv: pd.Series, tu: pd.Series, tv: pd.Series) -> pd.Series:
-    def one(a: str, b: str, sa: str, sb: str, da: str, db: str, la: str, lb: str, ta: str, tb: str) -> float:
-        best = max(damerau_similarity(a, b), damerau_similarity(sa, sb), damerau_similarity(da, db), jaro_winkler(a, b), token_set_ratio(ta, tb))
-        return min(1.0, best + 0.05 * bool(la and lb and damerau_similarity(la, lb) >= 0.90))
-
-    return pd.Series([one(*x) for x in zip(u, v, su, sv, du, dv, lu, lv, tu, tv, strict=True)])
+    n = np.arange(len(u))
+    views = {k: [*x, *y] for k, x, y in (("norm", u, v), ("sep", su, sv), ("deleet", du, dv), ("letters", lu, lv), ("tokens", tu, tv))}
+    return pd.Series(kernels.combined(views, n, n + len(u)))
 
 
 def combined_similarity(a: Column, b: Column) -> Column:
@@ -215,14 +214,11 @@ def refine(pairs: DataFrame, min_sim: float = 0.70) -> DataFrame:
 def components(edges: DataFrame, a: str = "user_1", b: str = "user_2", rounds: int = 50) -> DataFrame:
     """Connected components of an undirected edge table: (node, root), root the smallest node.
 
-    Large-star and small-star contraction; every round is written by a reliable checkpoint where
-    ``spark.checkpoint.dir`` is set, and otherwise kept in executor storage.
+    Large-star and small-star contraction; every round is written to the shared folder.
     """
-    spark = edges.sparkSession
-    durable = bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
 
     def cut(df: DataFrame) -> DataFrame:
-        return df.checkpoint() if durable else df.persist()
+        return materialise(df, "edges")
 
     def star(df: DataFrame) -> DataFrame:
         low = df.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("k"), F.least("x", "m").alias("m"))
@@ -329,8 +325,8 @@ def username_similarity(df: DataFrame, column: str = "email_username", min_sim:
     """SIM13, SIM14, JN7: the whole stage; rows get cluster id, score, mean score, neighbours and flag."""
     if column not in df.columns:
         raise ValueError(f"no column {column}")
-    users = usernames(df, column)
-    pairs = refine(candidates(users, views, num_perm, max_bucket), min_sim).persist()
+    users = materialise(usernames(df, column), "usernames")
+    pairs = materialise(similar_pairs(users, min_sim, views, num_perm, max_bucket), "pairs")
     clusters, summary = extract_clusters(pairs, users, min_sim)
     annotated = annotate_pairs(pairs, clusters)
     features = user_features(annotated, min_sim, neighbours)
@@ -346,18 +342,51 @@ def similarity_model(users: DataFrame, **settings) -> Similarity:
 
 @F.pandas_udf(T.DoubleType())
 def _damerau(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([damerau_similarity(x, y) for x, y in zip(a, b, strict=True)])
+    n = np.arange(len(a))
+    return pd.Series(kernels.damerau(kernels.Coded([*a, *b]), n, n + len(a)))
+
+
+def damerau_column(a: Column, b: Column) -> Column:
+    """1 less the Damerau-Levenshtein distance over the longer length."""
+    return _damerau(a, b)
+
+
+@F.pandas_udf(T.DoubleType())
+def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
+    n = np.arange(len(a))
+    return pd.Series(kernels.jaro_winkler(kernels.Coded([*a, *b]), n, n + len(a)))
 
 
-def legacy_matrix(df: DataFrame, column: str = "email_username", low: float = 0.1, high: float = 0.9) -> tuple[DataFrame, DataFrame]:
-    """SIM16, JN9, JN12, FLT2, AGG5: all ordered pairs of distinct usernames within the band, and the sum per user.
+def jaro_winkler_column(a: Column, b: Column) -> Column:
+    return _jaro_winkler(a, b)
 
-    Quadratic by definition; for small tables only.
+
+#: Most usernames for the exhaustive comparison.
+LEGACY_MOST = 2_000
+
+
+def legacy_matrix(df: DataFrame, column: str = "email_username", low: float = 0.1, high: float = 0.9, most: int = LEGACY_MOST, scaled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SIM16, JN9, JN12, FLT2, AGG11: all ordered pairs of distinct usernames within the band, and the sum per user.
+
+    Quadratic by definition, so over ``most`` usernames it refuses. ``scaled`` (SIM17): the sum min-max scaled.
     """
     if column not in df.columns:
         return df, df.sparkSession.createDataFrame([], "user_1 string, user_2 string, similarity double")
     users = usernames(df, column)
+    if users.count() > most:
+        raise ValueError(f"more than {most} usernames; use username_similarity")
     pairs = users.select(F.col("user").alias("user_1")).crossJoin(users.select(F.col("user").alias("user_2"))).withColumn("similarity", _damerau("user_1", "user_2"))
     pairs = pairs.where(F.col("similarity").between(low, high))
     sums = pairs.groupBy(F.col("user_1").alias("_u")).agg(F.sum("similarity").alias("username_similarity_score"))
-    return df.join(sums, text.norm(F.col(column)) == F.col("_u"), "left").drop("_u"), pairs
+    out = df.join(sums, text.norm(F.col(column)) == F.col("_u"), "left").drop("_u")
+    return numeric.normalise(out, "username_similarity_score") if scaled else out, pairs
+
+
+def strong_pairs(pairs: DataFrame, least: float = 0.5) -> DataFrame:
+    """FLT4."""
+    return pairs.where(F.col("similarity") >= least)
+
+
+def display_sorted(rows: DataFrame, k: int = 20) -> DataFrame:
+    """SRT4: a top-k report by score, neighbours and name."""
+    return rows.orderBy(F.desc("username_similarity_score"), F.desc("similarity_neighbors_count"), "email_username").limit(k)

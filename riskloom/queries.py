@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import numeric, text
 from riskloom.operators import clustering, features, prepare, pruning, scoring, similarity
 from riskloom.sources import applications as app
 from riskloom.sources import tables
+from riskloom.sources.scratch import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -265,42 +267,146 @@ _PAIRS = MAIL + """, x AS (SELECT DISTINCT lower(u) AS u FROM mail), sh AS (SELE
 
 @query()
 def sim1_4_lsh_candidates(s, d):
-    return similarity.candidates(_short_users(s, d))
+    """Every candidate of the four views as classes: members (kind 'user') and pairs of classes that meet (kind 'pair')."""
+    out, users = None, materialise(_short_users(s, d), "usernames")
+    for view in similarity.VIEWS:
+        members, met = similarity.candidate_classes(users, view)
+        part = members.select(F.lit(view).alias("view"), F.lit("user").alias("kind"), F.col("rep").alias("left"), F.col("user").alias("right"))
+        part = part.unionByName(met.select(F.lit(view).alias("view"), F.lit("pair").alias("kind"), F.col("rep_1").alias("left"), F.col("rep_2").alias("right")))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query()
 def sim5_6_refined_pairs(s, d):
-    return similarity.refine(similarity.candidates(_short_users(s, d)))
+    """All refined pairs, reported by their first user: how many, their mean, and the nearest."""
+    pairs = similarity.similar_pairs(_short_users(s, d))
+    best = F.max(F.struct("similarity", F.col("user_2").alias("user")))
+    return pairs.groupBy("user_1").agg(F.count("*").alias("n"), F.round(F.avg("similarity"), 9).alias("mean"), best["user"].alias("nearest"))
 
 
 def _stage(s, d):
-    users = _short_users(s, d)
-    pairs = similarity.refine(similarity.candidates(users))
-    clusters, summary = similarity.extract_clusters(pairs, users)
-    return similarity.annotate_pairs(pairs, clusters), clusters, summary
+    return similarity.username_similarity(_users(s, d))
 
 
 @query()
 def sim7_8_cluster_summary(s, d):
-    return similarity.sorted_summary(_stage(s, d)[2])
+    return similarity.sorted_summary(_stage(s, d).cluster_summary)
 
 
 @query()
-def sim11_user_features(s, d):
-    return similarity.user_features(_stage(s, d)[0])
+def sim13_14_username_similarity(s, d):
+    """The whole stage: its columns for every application."""
+    return _stage(s, d).rows
 
 
 @query()
 def sim10_cluster_links(s, d):
-    _, clusters, summary = _stage(s, d)
-    return similarity.cluster_links(clusters, summary)
+    return _stage(s, d).cluster_links
+
+
+@query(_PAIRS + "SELECT user_1, user_2, round(jaccard, 9) AS jaccard FROM j")
+def sim4_exact_candidates(s, d):
+    return similarity.exact_candidates(_short_users(s, d)).withColumn("jaccard", F.round("jaccard", 9))
+
+
+@query(_PAIRS + """, k AS (SELECT user_1, user_2, regexp_replace(regexp_replace(user_1, '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s1, regexp_replace(regexp_replace(user_2, '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s2 FROM j)
+  SELECT user_1, user_2, round(1 - damerau_levenshtein(user_1, user_2) / greatest(length(user_1), length(user_2)), 9) AS damerau, round(1 - damerau_levenshtein(s1, s2) / greatest(length(s1), length(s2)), 9) AS damerau_sep,
+  round(jaro_winkler_similarity(user_1, user_2), 9) AS jaro_winkler FROM k""")
+def sim5_kernels(s, d):
+    p = similarity.exact_candidates(_short_users(s, d))
+    one, two = F.col("user_1"), F.col("user_2")
+    return p.select(one, two, F.round(similarity.damerau_column(one, two), 9).alias("damerau"), F.round(similarity.damerau_column(text.sep_norm(one), text.sep_norm(two)), 9).alias("damerau_sep"), F.round(similarity.jaro_winkler_column(one, two), 9).alias("jaro_winkler"))
+
+
+#: Links of suppliers to their nations, weighted by account balance: components are known without recursion.
+_STAR = """WITH b AS (SELECT lower(s_name) AS s, lower(n_name) AS n, (s_acctbal - lo) / (hi - lo) AS w FROM supplier JOIN nation ON s_nationkey = n_nationkey, (SELECT min(s_acctbal) AS lo, max(s_acctbal) AS hi FROM supplier)),
+  p AS (SELECT least(s, n) AS user_1, greatest(s, n) AS user_2, n AS hub, w AS similarity FROM b), u AS (SELECT lower(s_name) AS u FROM supplier UNION SELECT lower(n_name) FROM nation),
+  e AS (SELECT * FROM p WHERE similarity >= 0.7), x AS (SELECT user_1 AS u, hub, similarity AS w FROM e UNION ALL SELECT user_2, hub, similarity FROM e),
+  f AS (SELECT u, hub, sum(w) AS sum, avg(w) AS mean, count(*) AS n FROM x GROUP BY u, hub),
+  c AS (SELECT hub, row_number() OVER (ORDER BY size DESC, round(avg_similarity, 9) DESC, root) AS cluster_id, size, avg_similarity FROM (SELECT hub, count(*) AS size, min(u) AS root, sum(sum) / sum(n) AS avg_similarity FROM f GROUP BY hub)),
+  m AS (SELECT u.u, coalesce(c.cluster_id, -1) AS cluster_id FROM u LEFT JOIN f ON f.u = u.u LEFT JOIN c ON c.hub = f.hub),
+  g AS (SELECT *, row_number() OVER (PARTITION BY hub ORDER BY round(sum, 9) DESC, u) AS r FROM f) """
+
+
+def _star(s, d):
+    b = numeric.normalise(_table(s, d, "supplier"), "s_acctbal").join(_table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    one, two = F.lower("s_name"), F.lower("n_name")
+    pairs = b.select(F.least(one, two).alias("user_1"), F.greatest(one, two).alias("user_2"), F.lit(0.0).alias("jaccard_raw_view"), F.col("s_acctbal").alias("similarity"))
+    users = _table(s, d, "supplier").select(F.col("s_name").alias("email_username")).unionByName(_table(s, d, "nation").select(F.col("n_name").alias("email_username")))
+    clusters, summary = similarity.extract_clusters(pairs, similarity.usernames(users))
+    return pairs, clusters, summary
+
+
+@query(_STAR + """SELECT c.cluster_id, c.size, g.u AS medoid_username, regexp_replace(regexp_replace(regexp_replace(g.u, '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '[0-9]+', '0', 'g') AS canonical_label, round(avg_similarity, 9) AS avg_similarity,
+  round(g.sum, 9) AS centroid_sum_similarity, round(g.mean, 9) AS centroid_mean_similarity, g.n AS centroid_neighbor_count FROM c JOIN g ON g.hub = c.hub AND g.r = 1
+  UNION ALL SELECT -1, count(*), '', '__isolates__', 0, 0, 0, 0 FROM m WHERE cluster_id = -1 HAVING count(*) > 0""")
+def sim8_star_summary(s, d):
+    summary = _star(s, d)[2]
+    return summary.withColumns({c: F.round(c, 9) for c in ("avg_similarity", "centroid_sum_similarity", "centroid_mean_similarity")})
+
+
+@query(_STAR + "SELECT u AS email_username, cluster_id FROM m")
+def jn10_user_clusters(s, d):
+    return _star(s, d)[1]
+
+
+@query(_STAR + """SELECT user_1, user_2, a.cluster_id AS cluster_id_1, b.cluster_id AS cluster_id_2, CAST(a.cluster_id = b.cluster_id AND a.cluster_id <> -1 AS INT) AS same_cluster,
+  CASE WHEN a.cluster_id = b.cluster_id THEN a.cluster_id ELSE -1 END AS pair_cluster_id, 0.0::DOUBLE AS jaccard_raw_view, similarity FROM p JOIN m a ON a.u = user_1 JOIN m b ON b.u = user_2""")
+def sim12_annotated_pairs(s, d):
+    pairs, clusters, _ = _star(s, d)
+    return similarity.annotate_pairs(pairs, clusters)
+
+
+@query(_STAR + "SELECT u AS email_username, round(sum, 9) AS username_similarity_score, round(mean, 9) AS username_similarity_mean_score, n AS similarity_neighbors_count, CAST(n > 2 AS INT) AS too_many_similar_usernames_flag FROM f")
+def sim11_user_features(s, d):
+    pairs, clusters, _ = _star(s, d)
+    found = similarity.user_features(similarity.annotate_pairs(pairs, clusters))
+    return found.withColumns({c: F.round(c, 9) for c in ("username_similarity_score", "username_similarity_mean_score")})
+
+
+@query(_STAR + "SELECT u AS email_username, round(sum, 9) AS username_similarity_score, n AS similarity_neighbors_count FROM f ORDER BY sum DESC, n DESC, u LIMIT 20")
+def srt4_display_sorted(s, d):
+    pairs, clusters, _ = _star(s, d)
+    found = similarity.display_sorted(similarity.user_features(similarity.annotate_pairs(pairs, clusters)))
+    return found.select("email_username", F.round("username_similarity_score", 9).alias("username_similarity_score"), "similarity_neighbors_count")
+
+
+@query(_STAR + "SELECT user_1, user_2, similarity FROM p WHERE similarity >= 0.5")
+def flt4_strong_pairs(s, d):
+    return similarity.strong_pairs(_star(s, d)[0]).select("user_1", "user_2", "similarity")
+
+
+_LEGACY = """WITH u AS (SELECT lower(n_name) AS u FROM nation UNION SELECT lower(r_name) FROM region), p AS (SELECT a.u AS user_1, b.u AS user_2, 1 - damerau_levenshtein(a.u, b.u) / greatest(length(a.u), length(b.u)) AS similarity FROM u a, u b),
+  q AS (SELECT * FROM p WHERE similarity BETWEEN 0.1 AND 0.9), t AS (SELECT user_1 AS u, sum(similarity) AS total FROM q GROUP BY 1) """
 
 
-@query("""WITH RECURSIVE e AS (SELECT 'a' || CAST(c_custkey AS VARCHAR) AS a, 'a' || CAST(c_custkey + 7 AS VARCHAR) AS b FROM customer WHERE c_custkey % 5 <> 0),
-  n AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), r AS (SELECT x AS node, x AS root FROM n UNION SELECT r.node, n.y FROM r JOIN n ON n.x = r.root) SELECT node, min(root) AS root FROM r GROUP BY node""")
+def _names(s, d):
+    names = _table(s, d, "nation").select(F.col("n_name").alias("email_username"))
+    return names.unionByName(_table(s, d, "region").select(F.col("r_name").alias("email_username")))
+
+
+@query(_LEGACY + "SELECT user_1, user_2, round(similarity, 9) AS similarity FROM q")
+def sim16_legacy_pairs(s, d):
+    return similarity.legacy_matrix(_names(s, d))[1].withColumn("similarity", F.round("similarity", 9))
+
+
+@query(_LEGACY + "SELECT upper(u.u) AS email_username, round(total, 9) AS username_similarity_score FROM u LEFT JOIN t ON t.u = u.u")
+def agg11_legacy_sums(s, d):
+    return similarity.legacy_matrix(_names(s, d))[0].withColumn("username_similarity_score", F.round("username_similarity_score", 9))
+
+
+@query(_LEGACY + "SELECT upper(u.u) AS email_username, round((total - min(total) OVER ()) / (max(total) OVER () - min(total) OVER ()), 9) AS username_similarity_score FROM u LEFT JOIN t ON t.u = u.u")
+def sim17_scaled_sums(s, d):
+    return similarity.legacy_matrix(_names(s, d), scaled=True)[0].withColumn("username_similarity_score", F.round("username_similarity_score", 9))
+
+
+@query("""WITH x AS (SELECT c_nationkey, 'a' || CAST(c_custkey AS VARCHAR) AS node FROM customer), n AS (SELECT c_nationkey, min(node) AS root, count(*) AS n FROM x GROUP BY 1) SELECT node, root FROM x JOIN n USING (c_nationkey) WHERE n > 1""")
 def sim7_components(s, d):
-    c = F.col("c_custkey")
-    e = _table(s, d, "customer").where("c_custkey % 5 <> 0").select(F.concat(F.lit("a"), c.cast("string")).alias("a"), F.concat(F.lit("a"), (c + 7).cast("string")).alias("b"))
+    """Customers of a nation as one chain in order of their keys."""
+    name = F.concat(F.lit("a"), F.col("c_custkey").cast("string"))
+    before = F.lag(name).over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    e = _table(s, d, "customer").select(before.alias("a"), name.alias("b")).where("a IS NOT NULL")
     return similarity.components(e, "a", "b")
 
 
@@ -446,9 +552,15 @@ def agg13_tier_summary(s, d):
     return scoring.tier_summary(_table(s, d, "orders").select(F.when(k == 0, "Low").when(k == 1, "High").otherwise("Critical").alias("fraud_risk_tier")))
 
 
-@query(_SCORED + "SELECT feature, weight, round(avg(c), 3) AS avg_contribution FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {w}::DOUBLE AS weight, c{i} AS c FROM b" for i, (f, w) in enumerate(scoring.WEIGHTS.items(), 1)) + ") GROUP BY 1, 2")
+@query(_SCORED + "SELECT app_id, " + ", ".join(f"round(c{i} / {w}, 3) AS {f}_risk_contrib" for i, (f, w) in enumerate(scoring.WEIGHTS.items(), 1)) + " FROM b")
+def sc2_contributions(s, d):
+    df, _ = scoring.base_score(s.sql(_LABELS, orders=_table(s, d, "orders")))
+    return df.select("app_id", *[f"{f}_risk_contrib" for f in scoring.WEIGHTS])
+
+
+@query(_SCORED + "SELECT feature, weight, round(avg(c), 3) AS avg_contribution, round(avg(c) * weight, 3) AS weighted_importance FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {w}::DOUBLE AS weight, round(c{i} / {w}, 3) AS c FROM b" for i, (f, w) in enumerate(scoring.WEIGHTS.items(), 1)) + ") GROUP BY 1, 2")
 def agg14_feature_importance(s, d):
-    return scoring.feature_importance(_scored(s, d)).select("feature", "weight", F.round("avg_contribution", 3).alias("avg_contribution"))
+    return scoring.feature_importance(_scored(s, d))
 
 
 @query("SELECT 'x' AS feature, c_custkey % 4 AS cluster_label, count(c_acctbal) AS count, round(avg(c_acctbal), 3) AS mean, round(stddev_samp(c_acctbal), 3) AS std FROM customer GROUP BY 2")
@@ -468,16 +580,49 @@ def agg16_cluster_means(s, d):
     return scoring.cluster_means(_table(s, d, "customer").withColumnRenamed("c_mktsegment", "label"), "c_acctbal", "label")
 
 
-@query("SELECT o_custkey AS node, sum(w) AS total, count(*) AS n FROM (SELECT o_custkey, o_totalprice AS w FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders) GROUP BY 1")
-def set1_3_unions(s, d):
-    o = _table(s, d, "orders")
-    both = o.select(F.col("o_custkey").alias("node"), F.col("o_totalprice").alias("w")).unionByName(o.select(F.col("o_orderkey").alias("node"), F.col("o_totalprice").alias("w")))
-    return both.groupBy("node").agg(F.sum("w").alias("total"), F.count("*").alias("n"))
+@query(_STAR + "SELECT u AS email_username FROM m WHERE cluster_id = -1")
+def jn11_isolates(s, d):
+    return _star(s, d)[1].where("cluster_id = -1").select("email_username")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def jn11_isolates(s, d):
-    return _table(s, d, "customer").join(_table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+@query("SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, nullif(o_orderpriority, '1-URGENT') AS o_orderpriority FROM orders")
+def snk2_saved_table(s, d):
+    """A run's rows written to a warehouse table and read back."""
+    o = _table(s, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.when(F.col("o_orderpriority") == "1-URGENT", "None").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+    return s.table(tables.save_table(o, "riskloom", uuid.uuid4().hex[:8]))
+
+
+@query(_SCORED + "SELECT app_id, round(c5 / 0.2, 3) AS domain_freq_risk_contrib, round(c2 / 0.1, 3) AS username_special_count_risk_contrib, domain_freq_cluster FROM t")
+def snk3_score_file(s, d):
+    """The score file written as CSV and read back."""
+    path = tables.save_csv(tables.score_export(_scored(s, d)), scratch_path(s, "scores"))
+    return tables.load_checkpoint(s, path).select(F.col("app_id").cast("long").alias("app_id"), "domain_freq_risk_contrib", "username_special_count_risk_contrib", F.col("domain_freq_cluster").cast("long").alias("domain_freq_cluster"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def snk1_checkpoint(s, d):
+    """SNK1, SRC7: a CSV checkpoint written and read back with inferred types."""
+    path = tables.save_checkpoint(_table(s, d, "customer").select("c_custkey", "c_name", "c_nationkey"), scratch_path(s, "checkpoints"), "customers")
+    return tables.load_checkpoint(s, path).select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"))
+
+
+@query("SELECT r_name, count(*) AS n FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+def src4_run_query(s, d):
+    _table(s, d, "region").createOrReplaceTempView("riskloom_region")
+    _table(s, d, "nation").createOrReplaceTempView("riskloom_nation")
+    rows, columns = tables.run_query(s, "SELECT r_name, count(*) AS n FROM riskloom_region JOIN riskloom_nation ON n_regionkey = r_regionkey GROUP BY r_name")
+    return s.createDataFrame(rows, columns)
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def prj5_prune(s, d):
+    n = _table(s, d, "nation").select("n_nationkey", "n_name", F.lit("x").alias("isocode"), F.lit("y").alias("email_tld"))
+    return prepare.optimize_dtypes(prepare.prune(n))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def fe5_drop_columns(s, d):
+    return pruning.drop_columns(_table(s, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_totalprice", "absent"])
 
 
 @query()
@@ -486,11 +631,11 @@ def sc5_pipeline_scores(s, d):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline over the applications without username similarity: scores and tiers."""
+    """The whole pipeline over the applications: scores and tiers."""
     from riskloom.plans.pipeline import run_pipeline
 
     a = _apps(spark, sf_dir).withColumn("app_id", F.col("app_id").cast("string"))
-    run = run_pipeline(a, with_similarity=False)
+    run = run_pipeline(a)
     return run.scored.select("app_id", "fraud_score", "fraud_risk_tier")
 
 
