@@ -90,14 +90,26 @@ def view_index(users: DataFrame, view: str, num_perm: int = NUM_PERM, threshold:
 
 
 def exact_candidates(users: DataFrame, view: str = "raw", threshold: float | None = None) -> DataFrame:
-    """Pairs u < v whose exact shingle Jaccard in a view reaches the threshold, by an inverted index."""
+    """Pairs u < v whose exact shingle Jaccard in a view reaches the threshold, by an inverted index of prefixes.
+
+    Of two sets that are so similar, each has one of the other's shingles among its n - ceil(t n) + 1 rarest, so only those are
+    joined, and what meets is verified on whole sets.
+    """
     default, sizes = VIEWS[view]
-    sets = users.withColumn("sh", text.shingles(TRANSFORMS[view](F.col("user")), sizes)).withColumn("n", F.size("sh"))
-    each = sets.select("user", "n", F.explode("sh").alias("s"))
-    a, b = each.alias("a"), each.alias("b")
-    shared = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.user") < F.col("b.user"))).groupBy(F.col("a.user").alias("user_1"), F.col("b.user").alias("user_2"), F.col("a.n").alias("n_1"), F.col("b.n").alias("n_2")).agg(F.count("*").alias("both"))
-    j = F.col("both") / (F.col("n_1") + F.col("n_2") - F.col("both"))
-    return shared.withColumn("jaccard", j).where(F.col("jaccard") >= (threshold or default)).select("user_1", "user_2", "jaccard")
+    t = threshold or default
+    each = users.select("user", F.explode(text.shingles(TRANSFORMS[view](F.col("user")), sizes)).alias("s"))
+    rarity = each.groupBy(F.col("s").alias("_s")).agg(F.count("*").alias("df"))
+    order = F.array_sort(F.collect_list(F.struct("df", "s")))
+    sets = each.join(rarity, F.col("s") == F.col("_s")).groupBy("user").agg(F.transform(order, lambda x: x["s"]).alias("sh"))
+    sets = materialise(sets.withColumn("n", F.size("sh")), "shingles")
+    prefix = F.slice("sh", F.lit(1), (F.col("n") - F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9)) + 1).cast("int"))
+    rare = sets.select("user", "n", F.explode(prefix).alias("s"))
+    a, b = rare.alias("a"), rare.alias("b")
+    sizes_fit = (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * F.lit(t) - F.lit(1e-9)) & (F.col("a.user") < F.col("b.user"))
+    met = a.join(b, (F.col("a.s") == F.col("b.s")) & sizes_fit).select(F.col("a.user").alias("user_1"), F.col("b.user").alias("user_2")).distinct()
+    one, two = (sets.select(F.col("user").alias(f"user_{k}"), F.col("sh").alias(f"sh_{k}")) for k in (1, 2))
+    both = met.join(one, "user_1").join(two, "user_2")
+    return both.select("user_1", "user_2", exact_jaccard(F.col("sh_1"), F.col("sh_2")).alias("jaccard")).where(F.col("jaccard") >= t)
 
 
 def candidate_classes(users: DataFrame, view: str, num_perm: int = NUM_PERM, max_bucket: int = 1_000) -> tuple[DataFrame, DataFrame]:

@@ -285,8 +285,15 @@ def sim5_6_refined_pairs(s, d):
     return pairs.groupBy("user_1").agg(F.count("*").alias("n"), F.round(F.avg("similarity"), 9).alias("mean"), best["user"].alias("nearest"))
 
 
+_STAGES: dict[tuple[str, str], similarity.Similarity] = {}
+
+
 def _stage(s, d):
-    return similarity.username_similarity(_users(s, d))
+    """The stage's frames; its pairs are written once per session and input."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _STAGES:
+        _STAGES[key] = similarity.username_similarity(_users(s, d))
+    return _STAGES[key]
 
 
 @query()
