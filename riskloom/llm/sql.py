@@ -57,6 +57,31 @@ o AS (
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target FROM o
 """
 
+OP7 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, i, md5_number(substr(x, 2 * i + 1, 400)) AS h FROM d, unnest(range(0, length(x) // 2 - 199)) AS t(i)),
+again AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+f AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, TRUE) AS fresh FROM again),
+g AS (SELECT r, i, sum(fresh::INT) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM f),
+s AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY r, span),
+k AS (SELECT s.r, a, b, substr(x, 2 * coalesce(lag(b) OVER (PARTITION BY s.r ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY s.r ORDER BY a), 0))) AS before FROM s JOIN d ON d.r = s.r),
+m AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(before, '' ORDER BY a) AS before FROM k GROUP BY r)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(before, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN m ON m.r = d.r
+"""
+
+OP8 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT *, list_dot_product(e, e) AS n FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM ok AS a JOIN ok AS b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_dot_product(a.e, b.e) / sqrt(a.n * b.n) >= 0.98),
+reach AS (SELECT a AS node, a AS seen FROM l UNION SELECT reach.node, l.b FROM reach JOIN l ON reach.seen = l.a),
+c AS (SELECT node, min(seen) AS least FROM reach GROUP BY node),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(k.n, 0) AS n_links, coalesce(c.least, v.vec_id) AS component_id, coalesce(c.least, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN k ON k.a = v.vec_id LEFT JOIN c ON c.node = v.vec_id
+"""
+
 OP9 = rf"""
 WITH l AS (SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: x) AS lines FROM documents),
 x AS (SELECT doc_id, i, lines[i] AS line, translate(regexp_replace(lines[i], '^{_WS}+|{_WS}+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -71,4 +96,5 @@ FROM m GROUP BY doc_id
 #: op6 has no entry: the documents that make up a source's share follow from Spark's own hash of the ids.
 #: Its tests hold sizes and targets against OP6_TARGETS.
 OP6_TARGETS = OP6
-SQL = {"op2_warc": OP2, "op5_quality_rules": OP5, "op9_line_dedup": OP9}
+#: op7 compares windows by their MD5.
+SQL = {"op2_warc": OP2, "op5_quality_rules": OP5, "op7_suffix_dedup": OP7, "op8_embedding_near_dedup": OP8, "op9_line_dedup": OP9}

@@ -7,11 +7,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from riskloom.llm import embeddings, linededup, mixing, packing, pii, quality, queries, secrets, simhash, substrings, warc
 from riskloom.llm.sql import OP6_TARGETS
 
@@ -32,10 +30,10 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_op5_and_op9_sql(spark):
+def test_against_sql(spark):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    for table in ("documents", "pages", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, sql in queries.SQL.items():
         got = queries.queries()[name](spark, SF)
         cols = sorted(got.columns)
@@ -350,18 +348,3 @@ def test_substrings_split_groups(spark, seed):
     for group in (1, 8):
         got = substrings.remove_repeats(df, group=group).orderBy("doc_id").toPandas()
         assert list(got.drop(columns="doc_id").itertuples(index=False, name=None)) == want
-
-
-def test_pipeline(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "mix_sources", "pack_sequences"]
-    frame = docs
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        frame = stage(spark, frame, SF)
-        assert frame.columns == docs.columns
-        frame = spark.createDataFrame(frame.toPandas().astype(object).where(lambda x: x.notna(), None), docs.schema)
-    packed = corpus_pipeline.STAGES[-1][1](spark, frame, SF).toPandas()
-    ran = corpus_pipeline.run(spark, SF).toPandas()
-    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    assert sorted(packed[key].itertuples(index=False, name=None)) == sorted(ran[key].itertuples(index=False, name=None))
-    assert isinstance(packed, pd.DataFrame) and packed.sequence_id.nunique() <= -(-packed.length.sum() // 2048) + 1
