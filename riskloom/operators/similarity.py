@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import numeric, text
 from riskloom.operators import kernels
+from riskloom.operators.quantiles import numbered
 from riskloom.sources.scratch import materialise
 
 NUM_PERM = 128
@@ -276,10 +277,10 @@ def extract_clusters(pairs: DataFrame, users: DataFrame, min_sim: float = 0.70,
     order = Window.partitionBy("root").orderBy(F.round("sum", 9).desc(), "node")
     medoid = nodes.withColumn("_r", F.row_number().over(order)).where("_r = 1").select("root", F.col("node").alias("medoid_username"), F.col("sum").alias("centroid_sum_similarity"), F.col("mean").alias("centroid_mean_similarity"), F.col("n").alias("centroid_neighbor_count"))
     stats = nodes.groupBy("root").agg(F.count("*").alias("size"), (F.sum("sum") / F.sum("n")).alias("avg_similarity"))
-    numbered = stats.withColumn("cluster_id", F.row_number().over(Window.orderBy(F.desc("size"), F.round("avg_similarity", 9).desc(), "root")).cast("long"))
-    named = users.select(F.col("user").alias("email_username")).join(roots.join(numbered, "root").select("node", "cluster_id"), F.col("email_username") == F.col("node"), "left")
+    ranked = numbered(stats, "cluster_id", F.desc("size"), F.round("avg_similarity", 9).desc(), F.col("root"))
+    named = users.select(F.col("user").alias("email_username")).join(roots.join(ranked, "root").select("node", "cluster_id"), F.col("email_username") == F.col("node"), "left")
     clusters = named.select("email_username", F.coalesce("cluster_id", F.lit(-1).cast("long")).alias("cluster_id"))
-    summary = numbered.join(medoid, "root").select("cluster_id", "size", "medoid_username", text.canonical_label(F.col("medoid_username")).alias("canonical_label"), "avg_similarity", "centroid_sum_similarity", "centroid_mean_similarity", "centroid_neighbor_count")
+    summary = ranked.join(medoid, "root").select("cluster_id", "size", "medoid_username", text.canonical_label(F.col("medoid_username")).alias("canonical_label"), "avg_similarity", "centroid_sum_similarity", "centroid_mean_similarity", "centroid_neighbor_count")
     if isolates:
         zero = F.lit(0.0)
         alone = clusters.where("cluster_id = -1").agg(F.count("*").alias("size")).where("size > 0").select(F.lit(-1).cast("long").alias("cluster_id"), "size", F.lit("").alias("medoid_username"), F.lit("__isolates__").alias("canonical_label"), zero.alias("avg_similarity"), zero.alias("centroid_sum_similarity"), zero.alias("centroid_mean_similarity"), F.lit(0).cast("long").alias("centroid_neighbor_count"))

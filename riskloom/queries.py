@@ -504,7 +504,16 @@ def _modal(s, d):
     return o.select("o_orderkey", F.sqrt(F.col("o_totalprice")).alias("uni"), (F.col("o_totalprice") / 100_000 + F.when(F.col("o_orderkey") % 3 == 0, 40.0).when(F.col("o_orderkey") % 3 == 1, 20.0).otherwise(0.0)).alias("multi"))
 
 
-@query()
+#: Peaks: runs of equal bins higher than both neighbours, of at least 0.8 of the mean bin.
+_MODAL_SQL = """WITH x AS (SELECT o_orderkey, sqrt(o_totalprice) AS uni, o_totalprice / 100000 + CASE o_orderkey % 3 WHEN 0 THEN 40.0 WHEN 1 THEN 20.0 ELSE 0.0 END AS multi FROM orders),
+  t AS (SELECT 'uni' AS f, CAST(uni AS DOUBLE) AS v FROM x UNION ALL SELECT 'multi', CAST(multi AS DOUBLE) FROM x), e AS (SELECT f, min(v) AS lo, max(v) AS hi, count(v) AS n FROM t GROUP BY f),
+  h AS (SELECT f, CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INT) AS b, count(*) AS c FROM t JOIN e USING (f) WHERE v IS NOT NULL GROUP BY ALL),
+  g AS (SELECT e.f, i AS b, coalesce(h.c, 0) AS c FROM e CROSS JOIN range(30) AS s(i) LEFT JOIN h ON h.f = e.f AND h.b = i), r AS (SELECT f, b, c FROM g QUALIFY c IS DISTINCT FROM lag(c) OVER (PARTITION BY f ORDER BY b)),
+  p AS (SELECT f, c, lag(c) OVER w AS before, lead(c) OVER w AS after FROM r WINDOW w AS (PARTITION BY f ORDER BY b)), k AS (SELECT f, count(*) AS peaks FROM p JOIN e USING (f) WHERE before < c AND after < c AND c >= 0.8 * n / 30 GROUP BY f)
+  SELECT f AS feature, CASE WHEN n < 10 THEN 'insufficient_data' WHEN peaks >= 2 THEN 'multimodal' ELSE 'unimodal' END AS modality FROM e LEFT JOIN k USING (f)"""
+
+
+@query(_MODAL_SQL)
 def cl4_5_modality(s, d):
     return s.createDataFrame(list(clustering.modality(_modal(s, d), ["uni", "multi"]).items()), "feature string, modality string")
 
