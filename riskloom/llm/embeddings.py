@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +77,28 @@ def classes(df: DataFrame, vec_id: str = "vec_id", label: str = "label", vector:
     return own.where("label IS NOT NULL AND v IS NOT NULL AND id IS NOT NULL").where(sound).groupBy("label", "v").agg(F.min("id").alias("node"), F.count("*").alias("n"))
 
 
+def units(x: np.ndarray) -> np.ndarray:
+    """The rows, scaled to length one."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def packed(x: np.ndarray) -> list[bytes]:
+    """Each row's bytes, in single precision where that loses nothing (as with vectors stored so)."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return [(s if same else v).tobytes() for s, v, same in zip(short, x, (short == x).all(axis=1), strict=True)]
+
+
+def unpacked(values: list[bytes], dim: int) -> np.ndarray:
+    """The rows that ``packed`` made, in double precision."""
+    if len({len(v) for v in values}) == 1:
+        return np.frombuffer(b"".join(values), dtype=f"f{len(values[0]) // dim}").reshape(-1, dim).astype(np.float64)
+    return np.array([np.frombuffer(v, dtype=f"f{len(v) // dim}") for v in values], dtype=np.float64)
+
+
 def buckets(found: DataFrame, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
-    """A row for each bucket that a class lies in or probes: key, own, node, n, v (unit), codes."""
+    """A row for each bucket that a class lies in or probes: key, own, node, n, v (packed), codes."""
     label = found.schema["label"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,9 +110,7 @@ def buckets(found: DataFrame, tables: int = TABLES, probes: int = PROBES) -> Dat
                 for dim in np.unique(sizes).tolist():
                     rows = np.flatnonzero(sizes == dim)
                     x = np.array([vectors[i] for i in rows])
-                    x = x / np.abs(x).max(axis=1, keepdims=True)
-                    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-                    c = codes(unit, tables, probes)
+                    c = codes(units(x), tables, probes)
                     n, per = len(rows), tables * (1 + probes)
                     pick = pa.array(np.repeat(rows, per))
                     yield pa.RecordBatch.from_arrays(
@@ -103,13 +122,13 @@ def buckets(found: DataFrame, tables: int = TABLES, probes: int = PROBES) -> Dat
                             pa.array(np.tile(np.arange(1 + probes) == 0, n * tables)),
                             batch.column("node").take(pick),
                             batch.column("n").take(pick),
-                            pa.array([u.tobytes() for u in unit], pa.binary()).take(pa.array(np.repeat(np.arange(n), per))),
+                            pa.array(packed(x), pa.binary()).take(pa.array(np.repeat(np.arange(n), per))),
                             pa.array([k.astype(np.int32).tobytes() for k in c], pa.binary()).take(pa.array(np.repeat(np.arange(n), per))),
                         ],
-                        names=["label", "dim", "t", "bucket", "own", "node", "n", "unit", "codes"],
+                        names=["label", "dim", "t", "bucket", "own", "node", "n", "v", "codes"],
                     )
 
-    return found.mapInArrow(run, f"label {label}, dim int, t int, bucket long, own boolean, node long, n long, unit binary, codes binary")
+    return found.mapInArrow(run, f"label {label}, dim int, t int, bucket long, own boolean, node long, n long, v binary, codes binary")
 
 
 def compare(t: int, bucket: int, left: tuple, right: tuple | None, least: float, shape: tuple[int, int]) -> tuple[np.ndarray, ...]:
@@ -163,7 +182,7 @@ def block_links(rows: pa.Table, least: float, shape: tuple[int, int]) -> tuple[l
     """Forest edges and link counts by class of one block: rows of one bucket and pair of tiles."""
     node, n = rows.column("node").to_numpy(), rows.column("n").to_numpy()
     dim = rows.column("dim")[0].as_py()
-    unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), dtype=np.float64).reshape(len(node), dim)
+    unit = units(unpacked(rows.column("v").to_pylist(), dim))
     code = np.frombuffer(b"".join(rows.column("codes").to_pylist()), dtype=np.int32).reshape(len(node), *shape)
     own, tile = rows.column("own").to_numpy(), rows.column("tile").to_numpy()
     t, bucket, a, b = (rows.column(c)[0].as_py() for c in ("t", "bucket", "a", "b"))
@@ -181,16 +200,19 @@ def links(found: DataFrame, least: float = COSINE, tables: int = TABLES, probes:
     key = ["label", "dim", "t", "bucket"]
     big = rows.groupBy(*key).agg(F.count("*").alias("_size")).where(F.col("_size") > tile)
     big = big.select(*[F.col(k).alias(f"_{k}") for k in key], F.ceil(F.col("_size") / tile).cast("int").alias("_tiles"))
+    # written first: its measured size tells Catalyst whether the rows must be shuffled for the join
+    big, _ = saved(big, "big")
     both = rows.join(big, [F.col(k) == F.col(f"_{k}") for k in key], "left").drop(*[f"_{k}" for k in key])
     both = both.withColumn("_tiles", F.coalesce("_tiles", F.lit(1))).withColumn("tile", F.pmod(F.xxhash64("node"), "_tiles").cast("int"))
     each = F.explode(F.transform(F.sequence(F.lit(0), F.col("_tiles") - 1), lambda o: F.struct(F.least("tile", o).alias("a"), F.greatest("tile", o).alias("b"))))
-    both = both.withColumn("_at", each).select(*key, F.col("_at.a").alias("a"), F.col("_at.b").alias("b"), "tile", "own", "node", "n", "unit", "codes")
+    both = both.withColumn("_at", each).select(*key, F.col("_at.a").alias("a"), F.col("_at.b").alias("b"), "tile", "own", "node", "n", "v", "codes")
     key = [*key, "a", "b"]
     shape = (tables, 1 + probes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in grouped(batches, key):
-            if block.num_rows < 2:
+            # of a pair, one at least lies in the bucket itself
+            if block.num_rows < 2 or not pc.any(block.column("own")).as_py():
                 continue
             edges, counts = block_links(block, least, shape)
             if edges or counts:

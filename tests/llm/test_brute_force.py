@@ -104,3 +104,10 @@ def test_embedding_recall(spark, dim):
     assert found >= 0.9 * 400 and got.n_links.sum() == 2 * found
     empty = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
     assert embeddings.near_duplicates(empty).count() == 0
+
+
+def test_packed_vectors():
+    """Vectors travel in single precision only where that is exact."""
+    x = np.array([[0.5, -2.0, 3.25], [0.1, 1.0, 1.0], [1e300, 1.0, 0.0], [5e-324, 0.0, 1.0]])
+    values = embeddings.packed(x)
+    assert [len(v) for v in values] == [12, 24, 24, 24] and (embeddings.unpacked(values, 3) == x).all() and (embeddings.unpacked(values[:1], 3) == x[:1]).all()
