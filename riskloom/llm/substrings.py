@@ -19,7 +19,7 @@ few: about one in 75 bytes. An anchor's *context* is all bytes of the windows th
 
 Defined results: null texts are empty; texts under LENGTH bytes lose nothing; matches never cross documents;
 strings are judged on the input; repeated rows are documents of their own and so repeat each other (a row
-is known by a 64-bit hash of id and text, so ids may repeat or be null); an empty table gives an empty result.
+is known by a 64-bit hash of id and text, checked by a second, so ids may repeat or be null); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -354,7 +354,7 @@ def split_groups(contexts: DataFrame, scratch: list[str], length: int = LENGTH,
 
 def find_contexts(docs: DataFrame, length: int, gram: int, bits: int, base: int) -> tuple[DataFrame, str, bool]:
     """Contexts that are repeated (``whole``) or to be sorted (with their bytes), one of each kind; and whether all
-    contexts that count as copies are so by their SHA-256.
+    contexts that count as copies are so by their SHA-256 and all rows of one hash by a second hash.
 
     Repeated rows of a document ask once and are met once; their copies are in the counts.
     """
@@ -366,7 +366,7 @@ def find_contexts(docs: DataFrame, length: int, gram: int, bits: int, base: int)
     marked = rows.join(kinds.withColumnsRenamed({"h": "h_", "c": "c_"}), (F.col("h") == F.col("h_")) & (F.col("c") == F.col("c_")))
     ask = F.struct("h", "c", "place", "first", "last", (F.col("m") > 1).alias("whole"), "kinds", ((F.col("kinds") > 1) & (F.struct("row", "first") == F.col("one"))).alias("sort"))
     asked = marked.groupBy(F.col("row").alias("row_")).agg(F.collect_set(ask).alias("asked"))
-    met = docs.join(asked, F.col("row") == F.col("row_")).groupBy("row").agg(F.first("text").cast("binary").alias("data"), F.first("asked").alias("asked"))
+    met = docs.join(asked, F.col("row") == F.col("row_")).groupBy("row").agg(F.first("text").cast("binary").alias("data"), F.first("asked").alias("asked"), (F.min("check") == F.max("check")).alias("same"))
 
     def cut(a: Column) -> Column:
         body = F.substring(F.col("data"), a["first"] + 1, a["last"] - a["first"] + length)
@@ -374,26 +374,28 @@ def find_contexts(docs: DataFrame, length: int, gram: int, bits: int, base: int)
         sorted_only = [F.when(a["sort"], a[c]).alias(c) for c in ("place", "kinds")]
         return F.struct(*[a[c].alias(c) for c in ("h", "c", "first", "last", "whole", "sort")], *sorted_only, digest.alias("digest"), F.when(a["sort"], body).alias("bytes"))
 
-    met, path = saved(met.select("row", F.inline(F.transform("asked", cut))), "contexts", "zstd")
-    sound = met.where("whole").groupBy("h", "c").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty()
+    met, path = saved(met.select("row", "same", F.inline(F.transform("asked", cut))), "contexts", "zstd")
+    sound = met.where("whole").groupBy("h", "c").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").isEmpty() and met.where("NOT same").isEmpty()
     remove(spark, rows_path, kinds_path)
     return met, path, sound
 
 
-def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, bits: int = 64, with_text: bool = False) -> DataFrame:
+def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, bits: int = 64, with_text: bool = False, row_bits: int = 64) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept (binary)].
 
-    ``bits``: of the context hashes; where two contexts collide, all is done anew with other hashes of 64.
+    ``bits``, ``row_bits``: of the hashes of contexts and rows; where two collide, all is done anew with other
+    hashes of 64.
     """
     spark, kind = df.sparkSession, dict(df.dtypes)[doc_id]
     docs = df.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("doc", "text"))
-    contexts, path, sound = find_contexts(docs, length, gram, bits, BASE2)
-    base = BASE2
+    attempt, sound, plain = 0, False, docs
     while not sound:
-        remove(spark, path)
-        base += 0x2468ACE2
-        contexts, path, sound = find_contexts(docs, length, gram, 64, base)
+        row = F.shiftrightunsigned(F.xxhash64(F.lit(attempt), "doc", "text"), 64 - row_bits if row_bits < 64 and not attempt else 0)
+        docs = plain.withColumn("row", row).withColumn("check", F.xxhash64(F.lit(-1 - attempt), "doc", "text"))
+        contexts, path, sound = find_contexts(docs, length, gram, 64 if attempt else bits, BASE2 + attempt * 0x2468ACE2)
+        attempt += 1
+        if not sound:
+            remove(spark, path)
     whole = contexts.where("whole").select("row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

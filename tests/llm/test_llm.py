@@ -301,15 +301,15 @@ def brute_repeats(texts, length=200):
     return out
 
 
-@pytest.mark.parametrize(("group", "bits"), [(2048, 64), (2, 64), (2048, 3)])
-def test_substrings(spark, docs, empty, group, bits):
+@pytest.mark.parametrize(("group", "bits", "row_bits"), [(2048, 64, 64), (2, 64, 64), (2048, 3, 64), (2048, 64, 4)])
+def test_substrings(spark, docs, empty, group, bits, row_bits):
     r = random.Random(7)
     words = ["".join(r.choice("abcdeé") for _ in range(r.randint(2, 8))) for _ in range(300)]
     say = lambda n: " ".join(r.choice(words) for _ in range(n))
     common = [say(60), say(90)]
     texts = [say(r.randint(1, 60)) + r.choice(["", " " + r.choice(common)]) + " " + say(r.randint(0, 60)) for _ in range(60)] + [r["text"] for r in docs.collect()]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = substrings.remove_repeats(df, group=group, bits=bits).orderBy("doc_id").toPandas()
+    got = substrings.remove_repeats(df, group=group, bits=bits, row_bits=row_bits).orderBy("doc_id").toPandas()
     assert list(got.drop(columns="doc_id").itertuples(index=False, name=None)) == brute_repeats(texts)
     assert substrings.remove_repeats(empty).count() == 0
 
