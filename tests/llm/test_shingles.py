@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -72,3 +73,64 @@ def test_stage(spark):
     assert corpus_pipeline.near_dedup(spark, df.limit(0), "").count() == 0
     odd = spark.createDataFrame([(None, "same text"), (None, "same text"), (4, "same text"), (9, "Same  text")], "doc_id long, text string")
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in shingles.drop_near_duplicates(odd).collect()) == [(False, 4), (True, 0), (True, 0)]
+
+
+def plain_roots(n, pairs):
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    return [root(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("per_piece", [1_000_000, 100])
+def test_half_balls_meet(per_piece):
+    r = random.Random(5)
+    keys, checks = [], []
+    for _ in range(60):
+        key, check = r.getrandbits(shingles.BALL), r.getrandbits(128)
+        for flips in (0, 1, 2, 3):
+            keys.append(key ^ sum(1 << b for b in r.sample(range(shingles.BALL), flips)))
+            checks.append(check ^ sum(1 << b for b in r.sample(range(128), r.choice([0, 20, 30]))))
+    keys += [keys[0]] * 40
+    checks += [r.getrandbits(128) for _ in range(20)] + [checks[0]] * 20
+    n = len(keys)
+    near = [(i, j) for i in range(n) for j in range(i) if (keys[i] ^ keys[j]).bit_count() <= 2 and (checks[i] ^ checks[j]).bit_count() <= shingles.CHECK_RADIUS]
+    halves = np.array([[c & (1 << 64) - 1, c >> 64] for c in checks], dtype=np.uint64)
+    got = shingles.candidates(np.array(keys, dtype=np.uint32), halves, per_piece=per_piece)
+    assert plain_roots(n, got) == plain_roots(n, near) and n - len(got) == len(set(plain_roots(n, near)))
+
+
+def test_prints_are_majorities():
+    r, full = np.random.default_rng(2), (1 << 64) - 1
+    for n in (1, 2, 4, 255, 600):
+        hashes, want = r.integers(0, 1 << 63, n, dtype=np.uint64), ""
+        for mul in shingles._MUL.tolist():
+            mixed = []
+            for h in hashes.tolist():
+                x = h * mul & full
+                x = (x ^ x >> 32) * int(shingles._MIX) & full
+                mixed.append(x ^ x >> 29)
+            least = min(mixed, key=lambda x: x * int(shingles._MUL[0]) & full)
+            for at in [8 * byte + 7 - k for byte in range(8) for k in range(8)]:
+                ones = sum(x >> at & 1 for x in mixed)
+                want += str(least >> at & 1) if 2 * ones == n else str(int(2 * ones > n))
+        assert "".join(f"{b:08b}" for b in shingles.simhash_print(hashes)) == want
+
+
+def test_fingerprints_propose_pairs_at_08(spark):
+    """Sets at Jaccard 0.8 to 0.95 meet in a half ball, those without common shingles do not."""
+    r = np.random.default_rng(4)
+    rows = []
+    for both, a, b in [(4, 1, 0), (12, 2, 1), (160, 20, 20), (300, 75, 0), (380, 10, 10)] * 60:
+        hashes = r.integers(0, 1 << 63, both + a + b, dtype=np.uint64)
+        for own in (hashes[: both + a], np.concatenate([hashes[:both], hashes[both + a :]])):
+            rows.append((len(rows), len(own), bytearray(shingles.simhash_print(own))))
+    edges = shingles.proposed(spark.createDataFrame(rows, "node long, n long, print binary")).collect()
+    assert plain_roots(len(rows), [(e["a"], e["b"]) for e in edges]) == [i // 2 * 2 for i in range(len(rows))]
