@@ -17,9 +17,12 @@ table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import contextlib
+import ctypes
 import gc
 import os
 import re
+import threading
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,6 +38,8 @@ from riskloom.llm.common import buckets_for, running, saved, spread
 CAPACITY, END_ID, MAX_PLAN = 2048, 0, 200_000
 #: Entries of a worker's cache of letter runs; about 200 bytes each. Chunks get a third of that.
 CACHE = 600_000
+#: Seconds without a task after which a worker forgets its tokenizer and caches.
+IDLE = 2.0
 
 
 def tokenizer_path() -> str:
@@ -152,6 +157,32 @@ def _words(path: str) -> WordIds:
     return _WORDS[path]
 
 
+_TIMERS: list[threading.Timer] = []
+
+
+def _busy() -> None:
+    """A task begins: caches stay."""
+    while _TIMERS:
+        _TIMERS.pop().cancel()
+
+
+def _idle() -> None:
+    """A task has ended. Spark keeps its worker, also for other stages, whose memory the caches would take."""
+    _busy()
+    _TIMERS.append(threading.Timer(IDLE, _forget))
+    _TIMERS[-1].daemon = True
+    _TIMERS[-1].start()
+
+
+def _forget() -> None:
+    """Give the memory back to the system; a task that begins meanwhile keeps what it holds."""
+    _WORDS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _ids(words: WordIds, texts: pa.Array, most: int = 8 << 20) -> Iterator[bytes]:
     """The ids of each text, worked out for about ``most`` bytes of text at a time."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
@@ -170,7 +201,7 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
     kind = dict(df.dtypes)[doc_id]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(path)
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
@@ -187,6 +218,13 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
                 fields, names = [*fields, pa.array(out[5], pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(fields, names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _busy()
+        try:
+            yield from tokenised(batches)
+        finally:
+            _idle()
+
     return df.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
 
 

@@ -152,3 +152,30 @@ def test_plan_is_best_fit():
                 load[sequence + k] = max(load[sequence + k], offset + length)
         assert sum(e[0] * e[2] for e in entries) == sum(lengths) == sum(load.values())
         assert len(load) == plain_best_fit(lengths, capacity)
+
+
+def test_idle_workers_forget_the_tokenizer(spark):
+    """Workers that other stages take over hold nothing of packing any more."""
+    import time
+
+    def held(batches):
+        import os
+
+        import pyarrow as pa
+
+        from riskloom.llm import packing
+
+        for b in batches:
+            time.sleep(0.5)  # so that each worker takes part
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()] * b.num_rows, pa.int64()), pa.array([len(packing._WORDS)] * b.num_rows, pa.int64())], names=["pid", "n"])
+
+    def probe():
+        return {r["pid"]: r["n"] for r in spark.range(0, 4, 1, 4).mapInArrow(held, "pid long, n long").collect()}
+
+    df = spark.range(0, 400, 1, 4).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+    assert packing.pieces(df).count() == 400
+    before = probe()
+    assert any(before.values())
+    time.sleep(packing.IDLE + 2)
+    after = probe()
+    assert set(before) & set(after) and not any(after.values())
