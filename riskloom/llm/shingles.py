@@ -12,14 +12,16 @@ probability 1e-7 for large sets and 5e-6 at most, one above it more rarely; text
 
 Fingerprints are shuffled in blocks, one for a fingerprint's number, route and batch of texts; variants are made, sorted and
 matched within a route, in pieces of bounded size, and never shuffled. All pairs that share a variant are looked at, but
-for those connected already, and a spanning forest of the candidates is returned. Connected components of these edges
-hold every candidate pair. Within a component all sets are compared exactly, so what links is what is similar and
-not what shares a variant.
+for those connected already, and what the candidates connect is returned as stars, each node with the smallest that it is
+connected to: near copies have the same star under most fingerprints, where spanning trees would differ under each. The first
+fingerprints' stars give each node a label, and the others return only what connects different labels, so a group of n near copies
+is a few n edges and not one for each fingerprint. Connected components of these edges hold every candidate pair. Within a
+component all sets are compared exactly, so what links is what is similar and not what shares a variant.
 
 Components are cut into tiles by number of sets and of shingles, and compared tile by tile: no task holds
-more than two tiles and none is capped. A comparison leaves out pairs that are connected already and
-returns a spanning forest of the links, so a group of n near copies never becomes n^2 rows. A component
-of m tiles ships each set m times.
+more than two tiles and none is capped. Each tile is compared with itself first; its stars are the labels by which two tiles
+then leave out what is connected already, so a group of n near copies in m tiles is about n + m^2 / 2 edges and
+never n^2. A component of m tiles ships each set m times.
 
 Defined results: equal sets are one class first (partial aggregation), null, empty and blank texts among them;
 texts of fewer words than a shingle are one shingle; equal doc_ids are one document, and where it stays all its
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ POOL, ROUTE, BALL, RADIUS = 1_024, 4, 22, 2
 CHECK, CHECK_RADIUS = 128, 42
 #: Fingerprints of every set, and of those of at most SMALL shingles.
 PRINTS, SMALL_PRINTS, SMALL = 112, 224, 5
+#: Fingerprints whose stars are the others' labels.
+FIRST = 8
 #: Variants that are sorted at once, about, and prints that are dealt at once.
 PER_PIECE, PER_BLOCK = 2_000_000, 4_096
 #: Sets and shingles that a tile should have, about.
@@ -116,8 +121,8 @@ def sets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int =
     return df.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`").cast("string")).mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, n long, print binary")
 
 
-def blocks(classes: DataFrame) -> DataFrame:
-    """(number, route, nodes, entries): the fingerprints of a batch of (node, n, print), without their routing bits."""
+def blocks(classes: DataFrame, numbers: range) -> DataFrame:
+    """(number, route, nodes, entries): those fingerprints of a batch of (node, n, print), without their routing bits."""
     kind = dict(classes.dtypes)["node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +131,8 @@ def blocks(classes: DataFrame) -> DataFrame:
                 batch = whole.slice(at, PER_BLOCK)
                 prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, POOL // 8)
                 bits, small = np.unpackbits(prints, axis=1), np.flatnonzero(batch.column(1).to_numpy() <= SMALL)
-                for number, picks in enumerate(_PICKS):
-                    own = np.arange(len(prints)) if number < PRINTS else small
+                for number in numbers:
+                    picks, own = _PICKS[number], np.arange(len(prints)) if number < PRINTS else small
                     if not len(own):
                         break
                     value = bits[own[:, None], picks[None, :]] @ (1 << np.arange(ROUTE + BALL))
@@ -165,9 +170,9 @@ def variants(keys: np.ndarray, bits: int = BALL, radius: int = RADIUS, per_piece
         yield both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _joined(pairs: list[list[int]]) -> tuple[list[tuple[int, int]], dict[int, int]]:
-    """Spanning forest of the pairs, and the root of each index that is not one."""
-    up, out = {}, []
+def _joined(pairs: list[list[int]]) -> dict[int, int]:
+    """The least index that the pairs connect each with, of those that have a lesser one."""
+    up = {}
 
     def root(x: int) -> int:
         path = []
@@ -181,13 +186,29 @@ def _joined(pairs: list[list[int]]) -> tuple[list[tuple[int, int]], dict[int, in
         x, y = root(a), root(b)
         if x != y:
             up[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out, {x: root(x) for x in list(up)}
+    return {x: root(x) for x in list(up)}
 
 
-def candidates(keys: np.ndarray, checks: np.ndarray, bits: int = BALL, radius: int = RADIUS, check_radius: int = CHECK_RADIUS, per_piece: int = PER_PIECE) -> list[tuple[int, int]]:
-    """Spanning forest (index pairs) of the pairs that share a variant and are near by their further bits."""
-    parent, out = np.arange(len(keys)), []
+def _known(labels: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the labels, and in this order the first place of each."""
+    found = labels.combine_chunks()
+    order = pc.array_sort_indices(found).to_numpy()
+    return order, pc.rank(found, tiebreaker="min").to_numpy().astype(np.int64)[order] - 1
+
+
+def _stars(known: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Index pairs that lead from what was known to be connected to what is now; labels are least indices."""
+    at = np.flatnonzero((known == np.arange(len(known))) & (label != known))
+    return list(zip(at.tolist(), label[at].tolist(), strict=True))
+
+
+def candidates(keys: np.ndarray, checks: np.ndarray, bits: int = BALL, radius: int = RADIUS, check_radius: int = CHECK_RADIUS, per_piece: int = PER_PIECE, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Stars (index pairs, the second the least) of the pairs that share a variant and are near by their further bits.
+
+    ``known``: the least index that each is connected with before.
+    """
+    known = np.arange(len(keys)) if known is None else known
+    parent = known.copy()
     for variant, owner in variants(keys, bits, radius, per_piece):
         at, ahead = np.flatnonzero(variant[1:] == variant[:-1]), 1
         while len(at):
@@ -197,14 +218,13 @@ def candidates(keys: np.ndarray, checks: np.ndarray, bits: int = BALL, radius: i
             near = np.bitwise_count(checks[a] ^ checks[b]).sum(axis=1) <= check_radius
             if near.any():
                 ends = np.sort(np.stack([parent[a[near]], parent[b[near]]]), axis=0)
-                added, moved = _joined(np.unique(ends, axis=1).T.tolist())
-                out += added
+                moved = _joined(np.unique(ends, axis=1).T.tolist())
                 parent[list(moved)] = list(moved.values())
                 parent = parent[parent]
             ahead += 1
             at = at[at + ahead < len(variant)]
             at = at[variant[at + ahead] == variant[at]]
-    return out
+    return _stars(known, parent)
 
 
 def proposed(classes: DataFrame) -> DataFrame:
@@ -212,20 +232,33 @@ def proposed(classes: DataFrame) -> DataFrame:
     kind = dict(classes.dtypes)["node"]
 
     def run(table: pa.Table) -> pa.Table:
-        nodes = pa.concat_arrays([c.flatten() for c in table.column("nodes").chunks])
-        entries = np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype=_ENTRY)
-        found = np.array(candidates(entries["key"], entries["check"]), dtype=np.int64).reshape(-1, 2)
-        return pa.table({c: nodes.take(pa.array(found[:, k])) for k, c in enumerate("ab")})
+        nodes = pa.chunked_array([c.flatten() for c in table.column("nodes").chunks])
+        order, known = _known(nodes)
+        entries = np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype=_ENTRY)[order]
+        found = np.array(candidates(entries["key"], entries["check"], known=known), dtype=np.int64).reshape(-1, 2)
+        return pa.table({c: nodes.take(pa.array(order[found[:, k]])) for k, c in enumerate("ab")})
 
-    return blocks(classes).groupBy("number", "route").applyInArrow(run, f"a {kind}, b {kind}")
+    def stars(own: DataFrame, numbers: range) -> DataFrame:
+        return blocks(own, numbers).groupBy("number", "route").applyInArrow(run, f"a {kind}, b {kind}")
 
+    first, _ = saved(stars(classes, range(FIRST)), "stars")
+    rest = stars(_labelled(classes, first).select(F.col("label").alias("node"), "n", "print"), range(FIRST, SMALL_PRINTS))
+    return first.unionAll(rest)
 
-def compare(found: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, least: float = JACCARD) -> list[tuple[int, int]]:
-    """Links (index pairs) that connect what is similar among ``left``, or between it and ``right``."""
+
+def _labelled(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """Add ``label``: the smallest node that the stars (a, b) connect the row's with, or itself."""
+    labels = stars.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("_label"))
+    return rows.join(labels, F.col("node") == F.col("_node"), "left").withColumn("label", F.coalesce("_label", "node")).drop("_node", "_label")
+
+
+def compare(found: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, least: float = JACCARD, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Stars (index pairs, the second the least) that connect what is similar among ``left``, or between it and ``right``; ``known`` as in ``candidates``."""
     sizes = np.array([len(s) for s in found], dtype=np.int64)
     ids = np.unique(np.concatenate(found), return_inverse=True)[1] if len(found) else np.empty(0, dtype=np.int64)
     ends = np.cumsum(sizes)
-    label, out = np.arange(len(found)), []
+    known = np.arange(len(found)) if known is None else known
+    label = known.copy()
     has = np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype=bool)
     for at, i in enumerate(left.tolist()):
         others = left[at + 1 :] if right is None else right
@@ -243,9 +276,9 @@ def compare(found: list[np.ndarray], left: np.ndarray, right: np.ndarray | None,
         has[own] = False
         for j in others[both >= least * (lengths + n - both)].tolist():
             if label[j] != label[i]:
-                out.append((i, j))
-                label[label == label[j]] = label[i]
-    return out
+                low, high = sorted((label[i], label[j]))
+                label[label == high] = low
+    return _stars(known, label)
 
 
 def links(rows: DataFrame, tile: int = TILE, tile_shingles: int = TILE_SHINGLES, size: int = SHINGLE, least: float = JACCARD) -> DataFrame:
@@ -254,19 +287,25 @@ def links(rows: DataFrame, tile: int = TILE, tile_shingles: int = TILE_SHINGLES,
     tiles = F.greatest(F.ceil(F.col("_m") / tile), F.ceil(F.col("_n") / tile_shingles)).cast("int")
     whole = whole.select(F.col("component").alias("_component"), tiles.alias("_tiles"))
     both = rows.join(whole, F.col("component") == F.col("_component")).withColumn("tile", F.pmod(F.xxhash64("node"), "_tiles").cast("int"))
-    each = F.explode(F.transform(F.sequence(F.lit(0), F.col("_tiles") - 1), lambda o: F.struct(F.least("tile", o).alias("a"), F.greatest("tile", o).alias("b"))))
-    both = both.withColumn("_at", each).select("component", F.col("_at.a").alias("a"), F.col("_at.b").alias("b"), "tile", "node", "text")
     kind = dict(rows.dtypes)["node"]
 
     def run(table: pa.Table) -> pa.Table:
+        order, known = _known(table.column("label"))
+        table = table.take(pa.array(order))
         found = [shingle_set(t, size) for t in table.column("text").to_pylist()]
         where = table.column("tile").to_numpy()
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
-        edges = compare(found, np.flatnonzero(where == a), None if a == b else np.flatnonzero(where == b), least)
-        nodes = table.column("node")
-        return pa.table({c: nodes.take(pa.array([e[k] for e in edges], pa.int64())) for k, c in enumerate("ab")})
+        edges = compare(found, np.flatnonzero(where == a), None if a == b else np.flatnonzero(where == b), least, known)
+        labels = table.column("label")
+        return pa.table({c: labels.take(pa.array([e[k] for e in edges], pa.int64())) for k, c in enumerate("ab")})
+
+    def stars(tiled: DataFrame, a: str, b: str) -> DataFrame:
+        return tiled.select("component", F.col(a).alias("a"), F.col(b).alias("b"), "tile", "label", "text").groupBy("component", "a", "b").applyInArrow(run, f"a {kind}, b {kind}")
 
-    return both.groupBy("component", "a", "b").applyInArrow(run, f"a {kind}, b {kind}")
+    own, _ = saved(stars(both.withColumn("label", F.col("node")), "tile", "tile"), "tiles")
+    others = F.filter(F.sequence(F.lit(0), F.col("_tiles") - 1), lambda o: o != F.col("tile"))
+    each = F.explode(F.transform(others, lambda o: F.struct(F.least("tile", o).alias("a"), F.greatest("tile", o).alias("b"))))
+    return own.unionAll(stars(_labelled(both.where("_tiles > 1"), own).withColumn("_at", each), "_at.a", "_at.b"))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, least: float = JACCARD, tile: int = TILE) -> DataFrame:

@@ -134,3 +134,52 @@ def test_fingerprints_propose_pairs_at_08(spark):
             rows.append((len(rows), len(own), bytearray(shingles.simhash_print(own))))
     edges = shingles.proposed(spark.createDataFrame(rows, "node long, n long, print binary")).collect()
     assert plain_roots(len(rows), [(e["a"], e["b"]) for e in edges]) == [i // 2 * 2 for i in range(len(rows))]
+
+
+def near_group(n, words=400, seed=6):
+    """Copies of one text, each with a few words of its own."""
+    r = random.Random(seed)
+    base, out = [f"w{r.getrandbits(40)}" for _ in range(words)], []
+    for _ in range(n):
+        copy = list(base)
+        for k in r.sample(range(words), r.randint(1, 4)):
+            copy[k] = f"x{r.getrandbits(40)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_group_of_near_copies_is_few_edges(spark):
+    """Every fingerprint connects the group, but its edges are a few a node; whatever the order of the rows."""
+    n = 400
+    df = spark.createDataFrame(list(enumerate(near_group(n))), "node long, text string").repartition(7)
+    prints = shingles.sets(df, "node").withColumnRenamed("doc_id", "node").select("node", "n", "print")
+    edges = {tuple(sorted((e["a"], e["b"]))) for e in shingles.proposed(prints).collect()}
+    assert set(plain_roots(n, edges)) == {0}
+    assert len(edges) <= 8 * n
+
+
+def test_tiles_of_near_copies_are_few_edges(spark):
+    """A group of n in m tiles: the tiles' stars, and one edge for two tiles that both are connected."""
+    n, tile = 200, 10
+    rows = spark.createDataFrame([(i, 0, 400, t) for i, t in enumerate(near_group(n))], "node long, component long, n long, text string")
+    edges = [(e["a"], e["b"]) for e in shingles.links(rows, tile=tile).collect()]
+    m = n // tile
+    assert set(plain_roots(n, edges)) == {0} and len(edges) <= n + m * (m - 1) // 2
+
+
+def test_known_connections_are_not_proposed_again():
+    keys = np.array([5, 5, 5, 7, 9_000, 9_000, 70_000], dtype=np.uint32)
+    checks = np.zeros((7, 2), dtype=np.uint64)
+    assert shingles.candidates(keys, checks) == [(1, 0), (2, 0), (3, 0), (5, 4)]
+    known = np.array([0, 1, 1, 3, 0, 5, 6])  # 2 belongs to 1, 4 to 0
+    assert shingles.candidates(keys, checks, known=known) == [(1, 0), (3, 0), (5, 0)]
+    found = [np.arange(10, dtype=np.uint64) for _ in range(4)] + [np.arange(90, 99, dtype=np.uint64)]
+    assert shingles.compare(found, np.array([0, 1]), np.array([2, 3, 4]), known=np.array([0, 1, 2, 2, 4])) == [(1, 0), (2, 0)]
+    assert shingles.compare(found, np.array([0, 1]), np.array([2, 3, 4]), known=np.array([0, 0, 0, 0, 4])) == []
+
+
+def test_ids_of_text(spark):
+    texts = near_group(12) + ["other words"] * 2
+    df = spark.createDataFrame([(f"d{i:02}", t) for i, t in enumerate(texts)], "doc_id string, text string")
+    got = {r["doc_id"]: r["component_id"] for r in shingles.near_duplicates(df, tile=5).collect()}
+    assert [got[f"d{i:02}"] for i in range(14)] == ["d00"] * 12 + ["d12"] * 2
