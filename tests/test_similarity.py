@@ -105,3 +105,38 @@ def test_long_chain_and_hot_node(spark):
         parent[y] = x
     got = similarity.components(spark.createDataFrame(edges, "user_1 string, user_2 string"))
     assert {r["node"]: r["root"] for r in got.collect()} == {x: root(x) for x in list(parent)}
+
+
+def test_scores_by_distinct_proposals(spark, monkeypatch):
+    """What blocks of shapes compare is compared nowhere else: no pair of one shape is scored row by row."""
+    names = [f"{a}{b}{n}" for a in ("anna", "bert") for b in (".", "_") for n in range(40)]
+    users, met = spark.createDataFrame([(n,) for n in names], "user string"), []
+    whole = similarity.refine
+    monkeypatch.setattr(similarity, "refine", lambda pairs, least: whole(met.append(pairs.collect()) or pairs, least))
+    found = as_pairs(similarity.similar_pairs(users))
+    assert met == [[]] and ("anna.1", "anna_12") in found and ("anna.1", "bert.1") not in found
+
+
+def test_combined_above_least():
+    """Scores at or above ``least`` are those without it, others stay below; bit masks give way beyond 64 characters."""
+    r = random.Random(4)
+    words = ["".join(r.choice("abc1_. ") for _ in range(r.randint(0, 9))) + r.choice(["", "", " abc", "xy" * 40]) for _ in range(120)] + ["", "  "]
+    sep = [re.sub("^_+|_+$", "", re.sub("[^a-z0-9]+", "_", w)) for w in words]
+    views = {"norm": words, "sep": sep, "deleet": [w.replace("1", "i") for w in words], "letters": [re.sub("[^a-z]", "", w) for w in words], "tokens": [w.replace("_", " ") for w in sep]}
+    i, j = np.triu_indices(len(words), 1)
+    full, cut = kernels.combined(views, i, j), kernels.combined(views, i, j, 0.7)
+    assert (np.where(full >= 0.7, full, -1) == np.where(cut >= 0.7, cut, -1)).all() and 0.01 < (full >= 0.7).mean() < 0.5
+    best = [max(*[plain.damerau_similarity(views[v][a], views[v][b]) for v in ("norm", "sep", "deleet")], plain.jaro_winkler(words[a], words[b]), plain.token_set_ratio(views["tokens"][a], views["tokens"][b])) for a, b in zip(i, j, strict=True)]
+    lift = [bool(x and y and plain.damerau_similarity(x, y) >= 0.9) for x, y in ((views["letters"][a], views["letters"][b]) for a, b in zip(i, j, strict=True))]
+    assert np.allclose(full, [min(1.0, b + 0.05 * u) for b, u in zip(best, lift, strict=True)], atol=1e-12)
+
+
+def test_spanning(spark, monkeypatch):
+    """Per partition fewer edges than nodes, also where forests are dropped, and the same components."""
+    edges = spark.range(0, 2_000, 1, 2).selectExpr("CAST(id % 40 AS STRING) AS u", "CAST(id * 7 % 40 + 40 AS STRING) AS v")
+    kept = similarity.spanning(edges)
+    assert 0 < kept.count() <= 2 * 79
+    parts = lambda df: {(r["node"], r["root"]) for r in similarity.components(df, "u", "v").collect()}
+    want = parts(edges)
+    monkeypatch.setattr(similarity, "FOREST", 3)
+    assert parts(kept) == want == parts(edges)
