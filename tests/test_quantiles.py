@@ -1,11 +1,12 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import clustering, pruning
-from riskloom.operators.quantiles import exact_quantiles, numbered
+from riskloom.operators.quantiles import counted_values, exact_quantiles, numbered
 
 SHARES = [0.0, 0.1, 0.5, 0.75, 1.0]
 
@@ -52,3 +53,23 @@ def test_labels_of_many_values(spark):
     df = spark.createDataFrame([(float((i * 7) % 50), i, i % 3) for i in range(50)], "v double, many long, few long")
     got = clustering.relabel_all(df, [("v", "many"), ("v", "few")], most=10).collect()
     assert all(r["many"] == int(r["v"]) for r in got) and {r["few"] for r in got} == {0, 1, 2}
+
+
+def test_counted_values(spark):
+    """Columns of few values come as counts, others as rows; both give the same multiset and quantiles."""
+    df = spark.range(0, 3_000, 1, 3).selectExpr("id % 7 AS few", "IF(id % 5 = 0, NULL, CAST(id AS DOUBLE)) AS many", "CAST(NULL AS INT) AS none", "IF(id % 2 = 0, DOUBLE('NaN'), -0.0D) AS odd")
+    rows = counted_values(df, df.columns, most=50).collect()
+    got = Counter()
+    for r in rows:
+        got[r["i"], str(r["x"] + 0.0)] += r["w"]
+    want = Counter((i, str(float(v) + 0.0)) for r in df.collect() for i, v in enumerate(r) if v is not None)
+    assert got == want and sum(r["i"] == 0 for r in rows) == 7 and sum(r["i"] == 1 for r in rows) == 2_400
+
+
+def test_label_means(spark):
+    """Means by label with nulls in either against an aggregate; a label without values has none."""
+    df = spark.range(0, 500, 1, 3).selectExpr("IF(id % 11 = 0, NULL, CAST(id % 4 AS BIGINT)) AS a", "IF(id % 4 = 3 OR id % 13 = 0, NULL, id * 0.5D) AS x", "CAST(id % 2 AS INT) AS b")
+    got = {(r["i"], r["l"]): r["m"] for r in clustering.label_means(df, [("x", "a"), ("b", "a"), ("x", "b")]).collect()}
+    want = {(i, r["l"]): r["m"] for i, (f, g) in enumerate([("x", "a"), ("b", "a"), ("x", "b")]) for r in df.where(f"{g} IS NOT NULL").groupBy(df[g].alias("l")).agg({f: "avg"}).toDF("l", "m").collect()}
+    assert got.keys() == want.keys() and got[0, 3] is None
+    assert all(m == want[k] or abs(m - want[k]) < 1e-9 for k, m in got.items())
